@@ -97,7 +97,10 @@ def fit(df, label=S.LABEL, limit_pct=S.MISSING_LIMIT_PCT):
     """
     fitted = fit_encoding(df, label)
     facts = number_facts(df, {**{c: col(c) for c in fitted.numeric}, "": F.lit(0)})
-    rows = facts.pop("").n
+    marker = facts.pop("")
+    if marker is None:
+        raise ValueError("no rows to fit on")
+    rows = marker.n
     missing = {c: rows - fact.n for c, fact in facts.items()}
     fitted.sparse = [c for c in fitted.numeric if _percent(missing[c], rows) > limit_pct]
     kept = [c for c in fitted.numeric if c not in fitted.sparse]

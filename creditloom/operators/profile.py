@@ -137,7 +137,8 @@ def top_correlations(df, columns=None, label=S.LABEL, k=S.TOP_CORRELATIONS):
         label_correlations(df, names, label)
         .where(F.col("correlation").isNotNull())
         .select("feature", F.abs("correlation").alias("abs_correlation"))
-        .orderBy(F.desc("abs_correlation"), "feature")
+        # correlations equal but for the last digits count as equal
+        .orderBy(F.desc(F.bround("abs_correlation", 10)), "feature")
         .limit(k)
     )
 
