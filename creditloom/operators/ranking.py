@@ -19,7 +19,8 @@ def per_score(scored, label="label", score="score"):
 
 def _accumulated(scored, label="label", score="score"):
     return running_totals(
-        per_score(scored, label, score), "score", {"tp": F.col("pos"), "fp": F.col("neg")}
+        per_score(scored, label, score), "score", {"tp": F.col("pos"), "fp": F.col("neg")},
+        cuts_from=scored.select(F.col(score).alias("score")),
     )
 
 

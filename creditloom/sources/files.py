@@ -55,8 +55,11 @@ def write_table(df, path):
 
 
 def write_bucketed(df, table, path, buckets, key=CUSTOMER):
-    """A catalog table bucketed and sorted by the join key, so later joins on it need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    """A catalog table bucketed and sorted by the join key, so later joins on it need no shuffle.
+
+    One task writes one bucket, so there are as many files as buckets.
+    """
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
