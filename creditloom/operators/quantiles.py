@@ -2,10 +2,10 @@
 
 A quantile of n values interpolates between the values of two neighbouring
 ranks. Each round spreads the values between two known ones over equal bins,
-counts them, and goes on in the bin that holds the wanted rank, between the
-smallest and the largest value found in it. A bin with one distinct value ends
-the search however many rows hold that value; a bin with few rows is sorted.
-Every round is one grouped count combined in the tasks, so what is shuffled and
+counts them, and goes on in the bin that holds the lower rank, between the
+smallest and the largest value found in it, remembering the next value above.
+A bin with one distinct value ends the search however many rows hold that value;
+a bin with few rows is sorted. Every round is one grouped count combined in the tasks, so what is shuffled and
 what reaches the driver depends on the number of columns, not of rows.
 """
 
@@ -20,20 +20,31 @@ from creditloom.operators.columns import number_facts, stacked
 BINS = 1024
 # A search is finished by sorting once it holds this many values, and all searches together this many.
 GATHER_EACH = 50_000
-GATHER_ALL = 4_000_000
+GATHER_ALL = 2_000_000
 
 _SEARCH = "s int, i int, low double, high double, rank long"
 
 
 @dataclass(frozen=True)
 class _Search:
-    """The value with a rank (from 0) among the values of column i in [low, high]."""
+    """The values with a rank (from 0) and the next rank among the values of column i in [low, high].
+
+    ``size`` is their number, ``after`` the smallest value above them.
+    """
 
     i: int
     rank: int
     low: float
     high: float
     size: int
+    after: float = None
+
+    def pair(self, values):
+        """Both values, given those in reach or the one value all of them have."""
+        if values is None:
+            values = (self.low, self.low)
+        first, second = values
+        return first, second if self.rank + 1 < self.size else self.after
 
 
 def _in_reach(df, columns, searches):
@@ -49,13 +60,14 @@ def _in_reach(df, columns, searches):
 
 def _sorted_out(df, columns, searches):
     """The wanted values themselves, by sorting what is in reach."""
+    place = F.col("rank").cast("int")
     found = (
         _in_reach(df, columns, searches).groupBy("s", "rank")
         .agg(F.sort_array(F.collect_list("x")).alias("xs"))
-        .select("s", F.element_at("xs", (F.col("rank") + 1).cast("int")).alias("x"))
+        .select("s", F.get("xs", place).alias("x"), F.get("xs", place + 1).alias("y"))
     )
-    values = {row.s: row.x for row in found.collect()}
-    return [values[k] for k in range(len(searches))]
+    values = {row.s: (row.x, row.y) for row in found.collect()}
+    return [s.pair(values[k]) for k, s in enumerate(searches)]
 
 
 def _narrowed(df, columns, searches, bins):
@@ -68,24 +80,29 @@ def _narrowed(df, columns, searches, bins):
         .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
     )
     # at most one row per search and bin
-    upto = F.sum("n").over(Window.partitionBy("s").orderBy("bin"))
-    hit = binned.withColumn("before", upto - F.col("n")).where(
+    along = Window.partitionBy("s").orderBy("bin")
+    hit = binned.withColumns({
+        "before": F.sum("n").over(along) - F.col("n"), "after": F.lead("low").over(along)
+    }).where(
         (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n"))
     )
     rows = {row.s: row for row in hit.collect()}
     return [
-        replace(s, rank=s.rank - rows[k].before, low=rows[k].low, high=rows[k].high, size=rows[k].n)
+        replace(
+            s, rank=s.rank - rows[k].before, low=rows[k].low, high=rows[k].high, size=rows[k].n,
+            after=s.after if rows[k].after is None else rows[k].after,
+        )
         for k, s in enumerate(searches)
     ]
 
 
 def _values_at(df, columns, searches, each, total, bins):
-    """The value of every search, in order."""
+    """The pair of values of every search, in order."""
     values = {}
     pending = dict(enumerate(searches))
     while pending:
         for k in [k for k, s in pending.items() if s.low == s.high]:
-            values[k] = pending.pop(k).low
+            values[k] = pending.pop(k).pair(None)
         small, room = [], total
         for k, s in sorted(pending.items(), key=lambda pair: pair[1].size):
             if s.size <= each and s.size <= room:
@@ -109,28 +126,26 @@ def quantiles(df, columns, shares, facts=None, each=GATHER_EACH, total=GATHER_AL
     """
     columns = {name: c.cast("double") for name, c in columns.items()}
     facts = facts or number_facts(df, columns)
-    ranks, searches = {}, {}
+    searches, parts = {}, {}
     for i, name in enumerate(columns):
         fact = facts[name]
         if fact is None or not fact.n:
             continue
+        if not math.isfinite(fact.high - fact.low):
+            raise ValueError(f"infinite or not-a-number values in {name}")
         for share in shares:
             at = (fact.n - 1) * share
-            low = math.floor(at)
-            high = min(low + 1, fact.n - 1) if at > low else low
-            ranks[name, share] = (low, high, at - low)
-            for rank in (low, high):
-                searches[name, rank] = _Search(i, rank, fact.low, fact.high, fact.n)
+            searches[name, share] = _Search(i, math.floor(at), fact.low, fact.high, fact.n)
+            parts[name, share] = at - math.floor(at)
     found = dict(zip(searches, _values_at(df, list(columns.values()), list(searches.values()), each, total, bins)))
 
-    def value(name, share):
-        if (name, share) not in ranks:
+    def value(key):
+        if key not in found:
             return None
-        low, high, part = ranks[name, share]
-        a, b = found[name, low], found[name, high]
-        return a + (b - a) * part
+        (low, high), part = found[key], parts[key]
+        return low + (high - low) * part if part else low
 
-    return {name: [value(name, share) for share in shares] for name in columns}
+    return {name: [value((name, share)) for share in shares] for name in columns}
 
 
 def medians(df, columns, facts=None):

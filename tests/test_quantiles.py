@@ -49,3 +49,9 @@ def test_whole_numbers_and_expressions(spark):
     df = spark.range(1001)
     found = quantiles(df, {"id": F.col("id"), "twice": F.col("id") * 2}, [0.5])
     assert found == {"id": [500.0], "twice": [1000.0]}
+
+
+def test_infinite_values_are_refused(spark):
+    df = spark.createDataFrame([(1.0,), (math.inf,)], "x double")
+    with pytest.raises(ValueError, match="x"):
+        quantiles(df, {"x": F.col("x")}, [0.5])
