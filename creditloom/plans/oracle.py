@@ -7,8 +7,8 @@ _DAYS = "date_diff('day', DATE '2001-12-31', CAST({0} AS DATE))"
 # Named blocks; {placeholders} in a query pull in the blocks it needs, in this order.
 BLOCKS = {name: view_sql(name, _DAYS) for name in VIEWS}
 BLOCKS.update({
-    "train_set": "SELECT * FROM application WHERE SK_ID_CURR % 7 <> 0",
-    "test_set": "SELECT * EXCLUDE (TARGET) FROM application WHERE SK_ID_CURR % 7 = 0",
+    "train_set": "SELECT * FROM application_train",
+    "test_set": "SELECT * EXCLUDE (TARGET) FROM application_test",
     "apps": """
         SELECT *, CAST('train' AS VARCHAR) AS "SET" FROM
           (SELECT * REPLACE (CAST(TARGET AS DOUBLE) AS TARGET) FROM train_set)

@@ -54,7 +54,9 @@ def test_prepared_matrix(spark, work):
 def test_published_layer(spark, work):
     folder, *_ = work
     mart, checks = lending.publish(spark, str(folder))
-    assert sum(r.customers for r in mart.collect()) == spark.table("credit_data").count() == 128
+    assert sum(r.customers for r in mart.collect()) == spark.table("credit_data").count() == (
+        catalog.data(spark, FOLDER).roles.train().count()
+    )
     assert {r.check_name: r.status for r in checks.collect()}["row_count"] == "error"
     spark.sql("DROP TABLE credit_data")
     spark.sql("DROP TABLE fct_cohort_default_rates")
@@ -88,7 +90,7 @@ def test_bounded_scores_and_round_trip(spark, work):
     names = [c for c in fitted.features() if c not in catalog.LEAKING]
     model = models.fit_model("boosted_a", labelled, names, maxIter=2)
     scores = {r.SK_ID_CURR: r.score for r in models.score_rows(model, unlabelled).collect()}
-    assert len(scores) == 22 and all(0 <= s <= 1 for s in scores.values())
+    assert len(scores) == unlabelled.count() > 0 and all(0 <= s <= 1 for s in scores.values())
     again = models.load_model(models.save_model(model, "Boosted A", str(folder / "m")))
     assert {r.SK_ID_CURR: r.score for r in models.score_rows(again, unlabelled).collect()} == scores
     same = models.fit_model("boosted_a", labelled, names, maxIter=2)
