@@ -41,8 +41,8 @@ def copied(spark, folder, copies):
     size["users"] = size["customer"] // 10
     target = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     for table, keys in SHIFTED.items():
-        df = spark.read.parquet(f"{folder}/{table}.parquet").crossJoin(
-            F.broadcast(spark.range(copies).select(F.col("id").alias("copy")))
+        df = spark.read.parquet(f"{folder}/{table}.parquet").withColumn(
+            "copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
         )
         moved = {k: F.col(k) + F.col("copy") * size[of] for k, of in keys.items()}
         df.repartition(16).withColumns(moved).drop("copy").write.parquet(f"{target}/{table}.parquet")

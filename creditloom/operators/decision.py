@@ -9,24 +9,25 @@ from creditloom.operators.ranking import f_score, rate
 def threshold_counts(scored, thresholds=None, label="label", score="score"):
     """True and false positives and false negatives at each threshold.
 
-    Each row only counts how many thresholds its score reaches; rows merge to one
-    count per level, and the thresholds meet these few levels, not the rows.
+    One pass counts the rows of each class reaching each threshold; the single
+    row of counts is unfolded into one row per threshold.
     """
     thresholds = thresholds or S.SWEEP
-    level = sum((F.when(F.col(score) >= F.lit(t), 1).otherwise(0) for t in thresholds), F.lit(0))
-    levels = scored.where(F.col(score).isNotNull()).groupBy(level.alias("level")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
-    )
-    steps = scored.sparkSession.createDataFrame(
-        [(i + 1, t) for i, t in enumerate(thresholds)], "step int, threshold double"
-    )
-    reached = F.col("level") >= F.col("step")
-    # both sides have at most one row per threshold
-    return steps.crossJoin(F.broadcast(levels)).groupBy("threshold").agg(
-        F.sum(F.when(reached, F.col("pos")).otherwise(0)).alias("tp"),
-        F.sum(F.when(reached, F.col("neg")).otherwise(0)).alias("fp"),
-        F.sum(F.when(~reached, F.col("pos")).otherwise(0)).alias("fn"),
+    positive, negative = F.col(label) == 1, F.col(label) == 0
+    reached = [F.col(score) >= F.lit(t) for t in thresholds]
+    counts = scored.where(F.col(score).isNotNull()).agg(
+        F.count_if(positive).alias("p"),
+        *[F.count_if(positive & r).alias(f"tp{i}") for i, r in enumerate(reached)],
+        *[F.count_if(negative & r).alias(f"fp{i}") for i, r in enumerate(reached)],
     )
+    steps = [
+        F.struct(
+            F.lit(t).alias("threshold"), F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp"),
+            (F.col("p") - F.col(f"tp{i}")).alias("fn"),
+        )
+        for i, t in enumerate(thresholds)
+    ]
+    return counts.select(F.inline(F.array(*steps)))
 
 
 def fbeta_sweep(scored, beta=S.BETA, thresholds=None, label="label", score="score"):

@@ -105,16 +105,19 @@ def score_rows(model, df, key=S.CUSTOMER, label=None):
     )
 
 
+METRICS = "model string, auc_roc double, avg_precision double, recall_default double, precision_default double, f1_default double"
+
+
 def evaluate(scored_by_model):
     """One metrics row per model, best area under the ROC curve first."""
-    table = None
+    rows = []
     for name, scored in scored_by_model.items():
-        row = ranking_summary(scored).crossJoin(class_report(scored)).select(
-            F.lit(name).alias("model"), "auc_roc", "avg_precision",
-            "recall_default", "precision_default", "f1_default",
-        )
-        table = row if table is None else table.unionByName(row)
-    return leaderboard(table)
+        ranks, classes = ranking_summary(scored).first(), class_report(scored).first()
+        rows.append((
+            name, ranks.auc_roc, ranks.avg_precision,
+            classes.recall_default, classes.precision_default, classes.f1_default,
+        ))
+    return leaderboard(SparkSession.active().createDataFrame(rows, METRICS))
 
 
 def leaderboard(metrics):

@@ -200,21 +200,12 @@ def class_counts(df, label=S.LABEL):
 
 def class_weights(df, label=S.LABEL):
     """Balanced weight per class, n / (2 n_c), and the weight of a positive, n_0 / n_1."""
-    per_class = df.where(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int").alias("label")).agg(
-        F.count("*").alias("n")
-    )
-    # two rows from here on
-    both = per_class.agg(
-        F.sum("n").alias("total"),
-        F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("n0"),
-        F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("n1"),
-    )
-    return per_class.crossJoin(F.broadcast(both)).select(
-        "label", "n",
-        (F.col("total") / (2 * F.col("n"))).alias("balanced_weight"),
-        F.when(F.col("label") == 1, F.try_divide(F.col("n0").cast("double"), F.col("n1").cast("double")))
-        .otherwise(F.lit(1.0)).alias("positive_weight"),
-    )
+    counts = class_counts(df, label)
+    total = sum(counts.values())
+    rows = [
+        (c, n, total / (2 * n), counts[0] / n if c == 1 else 1.0) for c, n in counts.items() if n
+    ]
+    return _facts(df.sparkSession, rows, "label int, n long, balanced_weight double, positive_weight double")
 
 
 def minmax(df, columns):

@@ -6,7 +6,6 @@ running counts over the distinct scores use the bucketed order of ``ordering``.
 
 from pyspark.sql import functions as F
 
-from creditloom import settings as S
 from creditloom.operators.ordering import running_totals
 
 
@@ -63,44 +62,51 @@ def ranking_summary(scored, label="label", score="score"):
     )
 
 
-def _with_class_totals(points):
-    totals = points.agg(F.sum(_double("pos")).alias("p"), F.sum(_double("neg")).alias("n"))
-    return points.crossJoin(F.broadcast(totals))
+def class_totals(scored, label="label", score="score"):
+    """Numbers of positives and negatives with a score, as floats: one pass, one row."""
+    row = scored.where(F.col(score).isNotNull()).agg(
+        F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)
+    ).first()
+    return float(row[0]), float(row[1])
+
+
+def _share(count, whole):
+    return F.try_divide(_double(count), F.lit(whole))
+
+
+def _point(spark, **values):
+    return spark.range(1).select([F.lit(v).cast("double").alias(name) for name, v in values.items()])
 
 
 def roc_curve(scored, label="label", score="score"):
     """One point per distinct score, highest first, after the origin; collinear points are kept."""
-    points = _with_class_totals(_accumulated(scored, label, score)).select(
-        "score", F.try_divide("fp", "n").alias("fpr"), F.try_divide("tp", "p").alias("tpr")
+    p, n = class_totals(scored, label, score)
+    points = _accumulated(scored, label, score).select(
+        "score", _share("fp", n).alias("fpr"), _share("tp", p).alias("tpr")
     )
-    origin = scored.sparkSession.range(1).select(
-        F.lit(None).cast("double").alias("score"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return origin.unionByName(points)
+    return _point(scored.sparkSession, score=None, fpr=0.0, tpr=0.0).unionByName(points)
 
 
 def pr_curve(scored, label="label", score="score"):
     """Precision and recall per distinct score, the end point (1, 0), and the base rate beside them."""
-    points = _with_class_totals(_accumulated(scored, label, score)).select(
+    p, n = class_totals(scored, label, score)
+    base = p / (p + n) if p + n else None
+    points = _accumulated(scored, label, score).select(
         "score",
         (_double("tp") / (_double("tp") + _double("fp"))).alias("precision"),
-        F.try_divide("tp", "p").alias("recall"),
-        (F.col("p") / (F.col("p") + F.col("n"))).alias("base_rate"),
-    )
-    end = scored.where(F.col(score).isNotNull()).agg(F.avg(_double(label)).alias("base_rate")).select(
-        F.lit(None).cast("double").alias("score"),
-        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), "base_rate",
+        _share("tp", p).alias("recall"),
+        F.lit(base).cast("double").alias("base_rate"),
     )
+    end = _point(scored.sparkSession, score=None, precision=1.0, recall=0.0, base_rate=base)
     return points.unionByName(end)
 
 
 def confusion(scored, label="label", predicted="predicted"):
     """Counts by true class (rows) and predicted class (columns)."""
-    grid = scored.groupBy(F.col(label).cast("int").alias("label")).agg(
+    return scored.groupBy(F.col(label).cast("int").alias("label")).agg(
         F.count_if(F.col(predicted) == 0).alias("predicted_0"),
         F.count_if(F.col(predicted) == 1).alias("predicted_1"),
     )
-    return grid
 
 
 def class_report(scored, label="label", predicted="predicted"):
@@ -135,16 +141,14 @@ def f_score(beta):
 def cumulative_gain(scored, key="SK_ID_CURR", label="label", score="score"):
     """Every row by falling score with its share of the population and of the positives so far."""
     rows = scored.select(key, F.col(label).alias("label"), F.col(score).alias("score"))
+    p, n = class_totals(rows)
     placed = running_totals(
         rows, "score", {"position": F.lit(1), "positives": F.col("label")}, tiebreak=key
     )
-    totals = rows.where(F.col("score").isNotNull()).agg(
-        F.count("*").cast("double").alias("rows"), F.sum(_double("label")).alias("p")
-    )
-    return placed.crossJoin(F.broadcast(totals)).select(
+    return placed.select(
         key, "score", "label", F.col("position").cast("long").alias("position"),
-        (_double("position") / F.col("rows") * 100).alias("population_pct"),
-        (F.try_divide(_double("positives"), F.col("p")) * 100).alias("gain_pct"),
+        (_share("position", p + n) * 100).alias("population_pct"),
+        (_share("positives", p) * 100).alias("gain_pct"),
     )
 
 
@@ -154,11 +158,8 @@ def top_share_capture(scored, share=0.2, key="SK_ID_CURR", label="label", score=
     The rows are counted off along the global order; none are gathered.
     """
     rows = scored.select(key, F.col(label).alias("label"), F.col(score).alias("score"))
+    p, n = class_totals(rows)
     placed = running_totals(rows, "score", {"position": F.lit(1)}, tiebreak=key)
-    size = rows.where(F.col("score").isNotNull()).agg(F.floor(F.count("*") * share).alias("k"))
-    caught = placed.crossJoin(F.broadcast(size)).agg(
-        F.sum(F.when(F.col("position") <= F.col("k"), _double("label")).otherwise(0.0)).alias("caught"),
-        F.sum(_double("label")).alias("p"),
-    )
-    pct = F.try_divide(F.col("caught"), F.col("p")) * 100
-    return caught.select(pct.alias("capture_pct"), (pct / F.lit(share * 100)).alias("lift"))
+    caught = F.count_if((F.col("position") <= int((p + n) * share)) & (F.col("label") == 1))
+    pct = F.try_divide(caught.cast("double"), F.lit(p)) * 100
+    return placed.agg(pct.alias("capture_pct"), (pct / F.lit(share * 100)).alias("lift"))

@@ -42,9 +42,13 @@ def hash_cuts(df, key, ranks, group=None, seed=S.SEED, prefix_bits=PREFIX_BITS):
         (F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n"))
     ).select("g", "prefix", "rank", (F.col("rank") - F.col("upto") + F.col("n")).alias("place"))
     narrow = targets.select("g", "prefix").distinct()
-    inside = Window.partitionBy("g", "prefix").orderBy("h")
-    ranked = hashed.join(F.broadcast(narrow), ["g", "prefix"]).withColumn("place", F.row_number().over(inside))
-    found = ranked.join(F.broadcast(targets), ["g", "prefix", "place"]).select("g", "rank", "h").collect()
+    # rows with the same key merge before they are ranked
+    values = hashed.join(F.broadcast(narrow), ["g", "prefix"]).groupBy("g", "prefix", "h").agg(
+        F.count("*").alias("m")
+    ).withColumn("last", F.sum("m").over(Window.partitionBy("g", "prefix").orderBy("h")))
+    found = values.join(F.broadcast(targets), ["g", "prefix"]).where(
+        (F.col("place") <= F.col("last")) & (F.col("place") > F.col("last") - F.col("m"))
+    ).select("g", "rank", "h").collect()
     cuts = {(row.g, row["rank"]): row.h for row in found}
     return {g: [cuts.get((g, rank)) for rank in some] for g, some in ranks.items()}
 

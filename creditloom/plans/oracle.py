@@ -153,11 +153,16 @@ _LOAN_SIZE = _left("AMT_CREDIT", [0, 100000, 500000], ["Small", "Medium", "Large
 _AGE_GROUP = _right("age_years", [0, 30, 40, 50, 60], _AGE)
 _RISK = _right("income_credit_ratio", [-0.001, 0.3, 0.6], ["High Risk", "Medium Risk", "Low Risk"])
 _EMPLOYMENT_GROUP = _right("employment_age_ratio", [-0.001, 0.1, 0.3, 0.6], _EMPLOYMENT)
-_AGE_BAND = """CASE WHEN days_birth / 365.0 < 30 THEN '18-29' WHEN days_birth / 365.0 < 40 THEN '30-39'
-    WHEN days_birth / 365.0 < 50 THEN '40-49' WHEN days_birth / 365.0 < 60 THEN '50-59' ELSE '60+' END"""
-_EMPLOYMENT_BAND = """CASE WHEN employment_age_ratio IS NULL OR employment_age_ratio < 0.10 THEN 'Unstable'
-    WHEN employment_age_ratio < 0.30 THEN 'Short-term' WHEN employment_age_ratio < 0.60 THEN 'Moderate'
-    ELSE 'Stable' END"""
+
+
+def _under(x, bounds, labels):
+    """The first label whose bound lies above the value, the last label for all the rest."""
+    whens = " ".join(f"WHEN {x} < {bound} THEN '{label}'" for bound, label in zip(bounds, labels))
+    return f"CASE {whens} ELSE '{labels[-1]}' END"
+
+
+_AGE_BAND = _under("CAST(days_birth AS DOUBLE) / 365", [30, 40, 50, 60], _AGE)
+_EMPLOYMENT_BAND = _under("coalesce(employment_age_ratio, 0)", [0.1, 0.3, 0.6], _EMPLOYMENT)
 
 BLOCKS["cleaned_apps"] = _cleaned("application")
 BLOCKS["app_ratios"] = f"SELECT *, {_APP_RATIOS} FROM cleaned_apps"
@@ -393,10 +398,11 @@ def _check(name, severity, offending):
       CASE WHEN count(*) = 0 THEN 'pass' ELSE '{severity}' END AS status FROM ({offending})"""
 
 
-_ROW_COUNT = "SELECT count(*) AS total_rows FROM slim HAVING count(*) <> 307511"
-_BAND = f"SELECT {_RATE} AS default_rate FROM slim WHERE target IS NOT NULL HAVING {_RATE} < 7.0 OR {_RATE} > 9.0"
-_QUIRKS = """SELECT count(*) FILTER (WHERE bur_total_debt < 0) AS neg_debt,
-    count(*) FILTER (WHERE cc_utilisation > 1.0) AS over_limit FROM slim"""
+_ROW_COUNT = "SELECT * FROM (SELECT count(*) AS total_rows FROM slim) WHERE total_rows <> 307511"
+_BAND = f"""SELECT * FROM (SELECT {_RATE} AS default_rate FROM slim WHERE target IS NOT NULL)
+    WHERE NOT default_rate BETWEEN 7 AND 9"""
+_QUIRKS = """SELECT CAST(count_if(bur_total_debt < 0) AS BIGINT) AS neg_debt,
+    CAST(count_if(cc_utilisation > 1) AS BIGINT) AS over_limit FROM slim"""
 
 
 def _nulls(columns):
@@ -406,7 +412,7 @@ def _nulls(columns):
 
 
 def _ages(high):
-    return f"SELECT days_birth FROM slim WHERE days_birth / 365.0 < 18 OR days_birth / 365.0 > {high}"
+    return f"SELECT days_birth FROM slim WHERE NOT CAST(days_birth AS DOUBLE) / 365 BETWEEN 18 AND {high}"
 
 
 _EXPORTED = ["SK_ID_CURR", "TARGET", *PREPARED_COLUMNS]

@@ -60,3 +60,9 @@ def test_slices(rows):
     train, test = sampling.slice_sets(df)
     assert [tuple(r) for r in train.collect()] == [(1, 1, 5)] and train.columns == ["SK_ID_CURR", "TARGET", "x"]
     assert [tuple(r) for r in test.collect()] == [(2, 6)]
+
+
+def test_repeated_keys_stay_together(spark):
+    df = population(spark).union(population(spark).where("SK_ID_CURR < 2000"))
+    hashes = sorted(r[0] for r in df.select(sampling.key_hash("SK_ID_CURR")).collect())
+    assert sampling.hash_cuts(df, "SK_ID_CURR", {0: [3000, 7000]}) == {0: [hashes[2999], hashes[6999]]}
