@@ -48,13 +48,15 @@ def _weights(counts, kind):
     return (n0 + n1) / (2 * n0), (n0 + n1) / (2 * n1)
 
 
-def _estimator(name, label, total_weight, seed, overrides):
+def _estimator(name, label, total_weight, rows, seed, overrides):
     params = {**LEARNERS[name]["params"], **overrides}
     common = {"labelCol": label, "weightCol": WEIGHT, "featuresCol": FEATURES}
     if name == "logistic":
-        # unit inverse regularisation spread over the total weight
+        # Unit inverse regularisation spread over the total weight. Spark scales by the deviation
+        # over n - 1; the factor gives the penalty it has on features scaled by that over n.
+        penalty = (rows - 1) / rows / total_weight
         return LogisticRegression(
-            **{**common, "featuresCol": "_scaled"}, standardization=False, regParam=1.0 / total_weight, **params
+            **{**common, "featuresCol": "_scaled"}, standardization=False, regParam=penalty, **params
         )
     if name == "forest":
         return RandomForestClassifier(**common, seed=seed, **params)
@@ -62,19 +64,19 @@ def _estimator(name, label, total_weight, seed, overrides):
 
 
 def weighted(df, label=S.LABEL, kind="balanced", counts=None):
-    """The rows with a class weight column, and the sum of the weights."""
+    """The rows with a class weight column, the sum of the weights and the number of rows."""
     counts = counts or class_counts(df, label)
     w0, w1 = _weights(counts, kind)
     rows = df.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0)))
-    return rows, w0 * counts[0] + w1 * counts[1]
+    return rows, w0 * counts[0] + w1 * counts[1], counts[0] + counts[1]
 
 
-def learner(name, features, label, total_weight, seed=S.SEED, **overrides):
+def learner(name, features, label, total_weight, rows, seed=S.SEED, **overrides):
     """Assembler, scaler where the learner needs one, and the learner as one Spark ML workflow."""
     stages = [VectorAssembler(inputCols=list(features), outputCol=FEATURES)]
     if name == "logistic":
         stages.append(StandardScaler(inputCol=FEATURES, outputCol="_scaled", withMean=True, withStd=True))
-    return Pipeline(stages=[*stages, _estimator(name, label, total_weight, seed, overrides)])
+    return Pipeline(stages=[*stages, _estimator(name, label, total_weight, rows, seed, overrides)])
 
 
 def plain_names(df, features):
@@ -87,9 +89,9 @@ def plain_names(df, features):
 def fit_model(name, df, features, label=S.LABEL, seed=S.SEED, **overrides):
     """Fit a learner on prepared rows. Overrides replace single hyperparameters."""
     kind = LEARNERS[name]["weights"]
-    rows, total_weight = weighted(df.select(label, *[col(c) for c in features]), label, kind)
+    rows, total_weight, n = weighted(df.select(label, *[col(c) for c in features]), label, kind)
     rows, names = plain_names(rows, features)
-    return learner(name, names, label, total_weight, seed, **overrides).fit(rows)
+    return learner(name, names, label, total_weight, n, seed, **overrides).fit(rows)
 
 
 def score_rows(model, df, key=S.CUSTOMER, label=None):
@@ -144,10 +146,11 @@ def cross_validate(
     sample = sample.withColumn("_fold", fold_column(sample, key, label, folds, seed + 1)).select(
         label, "_fold", *[col(c) for c in features]
     )
-    sample, total_weight = weighted(sample, label, LEARNERS[name]["weights"])
+    sample, total_weight, n = weighted(sample, label, LEARNERS[name]["weights"])
     sample, names = plain_names(sample, features)
-    # regularisation is per unit of weight; each fit sees all folds but one
-    workflow = learner(name, names, label, total_weight * (folds - 1) / folds, seed, **overrides)
+    # each fit sees all folds but one
+    kept = (folds - 1) / folds
+    workflow = learner(name, names, label, total_weight * kept, n * kept, seed, **overrides)
     validator = CrossValidator(
         estimator=workflow,
         estimatorParamMaps=ParamGridBuilder().build(),

@@ -8,7 +8,7 @@ from creditloom import settings as S
 from creditloom.operators import (
     decision, features, joins, marts, models, prepare, profile, quality, ranking, sampling, summaries,
 )
-from creditloom.session import path_exists
+from creditloom.session import path_exists, size_shuffles
 from creditloom.sources import files, schemas
 
 SUMMARIES = {
@@ -61,6 +61,7 @@ def transform(spark, tables, folder, fresh=False, fit_on="all"):
     anything is prepared from them.
     """
     applications = files.read_table(spark, os.path.join(folder, "applications"))
+    size_shuffles(spark, [applications, *tables.values()])
     parts = [
         files.load_or_compute(spark, folder, f"summary_{name}", lambda b=build: b(tables), fresh)
         for name, build in SUMMARIES.items()

@@ -28,6 +28,20 @@ def build_session(name="creditloom", master=None, **conf):
     return builder.getOrCreate()
 
 
+def size_shuffles(spark, tables, target_bytes=128 * 2**20, most=200_000):
+    """Start shuffles with enough partitions for the inputs' size, about ``target_bytes`` each.
+
+    Adaptive execution merges partitions that turn out small but never splits
+    ordinary ones, so the start has to be fine enough.
+    """
+    size = sum(
+        int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in tables
+    )
+    start = min(most, max(size // target_bytes, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
+    return start
+
+
 def shared_folder(spark):
     """The folder every executor can read and write.
 

@@ -57,3 +57,14 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = session.shared_folder(spark)
     assert folder == (named.rstrip("/") if named else folder)
     assert session.fresh_path(spark, "x").startswith(folder) and session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
+
+
+def test_shuffles_start_fine_enough(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert session.size_shuffles(spark, [spark.range(10)]) == 8
+        assert session.size_shuffles(spark, [spark.range(10**6)], target_bytes=10**5) == 80
+        assert spark.conf.get(key) == "80"
+        assert session.size_shuffles(spark, [spark.range(10**12)], most=5000) == 5000
+    finally:
+        spark.conf.unset(key)
