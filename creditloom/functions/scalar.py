@@ -5,9 +5,17 @@ from pyspark.sql import functions as F
 from creditloom.settings import DAYS_PER_YEAR, DAYS_SENTINEL
 
 
+def quoted(name):
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unquoted(name):
+    return name[1:-1].replace("``", "`")
+
+
 def col(name):
     """A column by its exact name, also when one-hot values put dots or spaces into it."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def nan_to_null(column):

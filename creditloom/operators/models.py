@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from creditloom import settings as S
-from creditloom.functions.scalar import col
+from creditloom.functions.scalar import col, quoted, unquoted
 from creditloom.operators.profile import class_counts
 from creditloom.operators.ranking import class_report, ranking_summary
 from creditloom.operators.sampling import fold_column, sample_rows
@@ -73,33 +73,24 @@ def weighted(df, label=S.LABEL, kind="balanced", counts=None):
 
 def learner(name, features, label, total_weight, rows, seed=S.SEED, **overrides):
     """Assembler, scaler where the learner needs one, and the learner as one Spark ML workflow."""
-    stages = [VectorAssembler(inputCols=list(features), outputCol=FEATURES)]
+    stages = [VectorAssembler(inputCols=[quoted(c) for c in features], outputCol=FEATURES)]
     if name == "logistic":
         stages.append(StandardScaler(inputCol=FEATURES, outputCol="_scaled", withMean=True, withStd=True))
     return Pipeline(stages=[*stages, _estimator(name, label, total_weight, rows, seed, overrides)])
 
 
-def plain_names(df, features):
-    """Features under names without dots, as Spark ML needs them; the rest of the table unchanged."""
-    return df.select([
-        col(c).alias(c.replace(".", "_")) if c in set(features) else col(c) for c in df.columns
-    ]), [c.replace(".", "_") for c in features]
-
-
 def fit_model(name, df, features, label=S.LABEL, seed=S.SEED, **overrides):
     """Fit a learner on prepared rows. Overrides replace single hyperparameters."""
     kind = LEARNERS[name]["weights"]
     rows, total_weight, n = weighted(df.select(label, *[col(c) for c in features]), label, kind)
-    rows, names = plain_names(rows, features)
-    return learner(name, names, label, total_weight, n, seed, **overrides).fit(rows)
+    return learner(name, features, label, total_weight, n, seed, **overrides).fit(rows)
 
 
 def score_rows(model, df, key=S.CUSTOMER, label=None):
     """Probability of default and predicted class per row; the label beside them if given."""
     features = model.stages[0].getInputCols()
-    known = {c.replace(".", "_"): c for c in df.columns}
     kept = [col(key).alias(key)] + ([F.col(label).cast("int").alias("label")] if label else [])
-    rows = df.select(*kept, *[col(known[c]).alias(c) for c in features])
+    rows = df.select(*kept, *[F.col(c) for c in features])
     return model.transform(rows).select(
         key, *(["label"] if label else []),
         vector_to_array("probability")[1].alias("score"),
@@ -131,7 +122,7 @@ def feature_importance(model, k=S.TOP_IMPORTANCES):
     last = model.stages[-1]
     values = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
     names = model.stages[0].getInputCols()
-    rows = [(name, abs(float(v))) for name, v in zip(names, values.toArray())]
+    rows = [(unquoted(name), abs(float(v))) for name, v in zip(names, values.toArray())]
     return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     ).limit(k)
@@ -147,10 +138,9 @@ def cross_validate(
         label, "_fold", *[col(c) for c in features]
     )
     sample, total_weight, n = weighted(sample, label, LEARNERS[name]["weights"])
-    sample, names = plain_names(sample, features)
     # each fit sees all folds but one
     kept = (folds - 1) / folds
-    workflow = learner(name, names, label, total_weight * kept, n * kept, seed, **overrides)
+    workflow = learner(name, features, label, total_weight * kept, n * kept, seed, **overrides)
     validator = CrossValidator(
         estimator=workflow,
         estimatorParamMaps=ParamGridBuilder().build(),

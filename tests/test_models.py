@@ -32,7 +32,7 @@ def test_logistic_matches_the_direct_solution(spark):
     got = [r.score for r in models.score_rows(model, df).orderBy("SK_ID_CURR").collect()]
     assert np.allclose(got, solve(x, y, w), atol=1e-6)
     names = [r.feature for r in models.feature_importance(model).collect()]
-    assert names[0] == "a" and set(names) == {"a", "b_c", "d"}
+    assert names[0] == "a" and set(names) == {"a", "b.c", "d"}
 
 
 def test_default_hyperparameters():
