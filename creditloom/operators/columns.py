@@ -6,8 +6,12 @@ buffers, too large for generated code. Instead every row is unfolded into
 combined in each task to one line per column before anything is shuffled.
 """
 
+from collections import namedtuple
+
 from pyspark.sql import functions as F
 
+Facts = namedtuple("Facts", "n low high")
+
 
 def stacked(df, columns, keep=()):
     """Rows (i, x) for every row and every expression, beside the columns to keep."""
@@ -15,11 +19,11 @@ def stacked(df, columns, keep=()):
 
 
 def number_facts(df, columns):
-    """Per name a row with count, min and max of the present values, read as doubles."""
+    """Per name the count, minimum and maximum of the present values, read as doubles."""
     if not columns:
         return {}
     found = stacked(df, [c.cast("double") for c in columns.values()]).groupBy("i").agg(
-        F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
+        F.count("x"), F.min("x"), F.max("x")
     )
-    facts = {row.i: row for row in found.collect()}
-    return {name: facts.get(i) for i, name in enumerate(columns)}
+    facts = {row[0]: Facts(*row[1:]) for row in found.collect()}
+    return {name: facts.get(i, Facts(0, None, None)) for i, name in enumerate(columns)}

@@ -17,6 +17,7 @@ from creditloom.functions.scalar import col, quoted, unquoted
 from creditloom.operators.profile import class_counts
 from creditloom.operators.ranking import class_report, ranking_summary
 from creditloom.operators.sampling import fold_column, sample_rows
+from creditloom.session import small_table
 
 WEIGHT = "_weight"
 FEATURES = "_features"
@@ -110,7 +111,7 @@ def evaluate(scored_by_model):
             name, ranks.auc_roc, ranks.avg_precision,
             classes.recall_default, classes.precision_default, classes.f1_default,
         ))
-    return leaderboard(SparkSession.active().createDataFrame(rows, METRICS))
+    return leaderboard(small_table(SparkSession.active(), rows, METRICS))
 
 
 def leaderboard(metrics):
@@ -123,7 +124,7 @@ def feature_importance(model, k=S.TOP_IMPORTANCES):
     values = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
     names = model.stages[0].getInputCols()
     rows = [(unquoted(name), abs(float(v))) for name, v in zip(names, values.toArray())]
-    return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy(
+    return small_table(SparkSession.active(), rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     ).limit(k)
 
@@ -148,8 +149,8 @@ def cross_validate(
         numFolds=folds, foldCol="_fold", seed=seed, parallelism=parallelism,
     )
     fitted = validator.fit(sample)
-    return df.sparkSession.createDataFrame(
-        [(name, folds, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))],
+    return small_table(
+        df.sparkSession, [(name, folds, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))],
         "model string, folds int, auc_mean double, auc_std double",
     )
 

@@ -15,6 +15,7 @@ from creditloom.functions.scalar import clip, col
 from creditloom.operators.columns import number_facts, stacked
 from creditloom.operators.profile import distinct_values, missing_counts, numeric_columns, string_columns
 from creditloom.operators.quantiles import medians, quantiles
+from creditloom.session import small_table
 
 MISSING_CLASS = "None"
 MAX_CATEGORIES = 20_000
@@ -97,10 +98,9 @@ def fit(df, label=S.LABEL, limit_pct=S.MISSING_LIMIT_PCT):
     """
     fitted = fit_encoding(df, label)
     facts = number_facts(df, {**{c: col(c) for c in fitted.numeric}, "": F.lit(0)})
-    marker = facts.pop("")
-    if marker is None:
+    rows = facts.pop("").n
+    if not rows:
         raise ValueError("no rows to fit on")
-    rows = marker.n
     missing = {c: rows - fact.n for c, fact in facts.items()}
     fitted.sparse = [c for c in fitted.numeric if _percent(missing[c], rows) > limit_pct]
     kept = [c for c in fitted.numeric if c not in fitted.sparse]
@@ -151,7 +151,7 @@ def remaining_nulls(df, columns):
     """Rows (column_name, nulls) of columns that still miss values; none when all is well."""
     missing = missing_counts(df, columns)[1]
     rows = [(c, n) for c, n in missing.items() if n]
-    return df.sparkSession.createDataFrame(rows, "column_name string, nulls long")
+    return small_table(df.sparkSession, rows, "column_name string, nulls long")
 
 
 def check_no_nulls(df, columns):
@@ -168,11 +168,13 @@ def compact_types(df, tolerance=5e-4):
     """
     numbers = [f for f in df.schema if f.dataType.simpleString() in ("int", "bigint", "double")]
     # a value beyond the float range turns infinite there, so the comparison rejects it
+    if not numbers:
+        return []
     moved = F.abs(F.col("x") - F.col("x").cast("float").cast("double"))
     found = stacked(df, [col(f.name).cast("double") for f in numbers]).groupBy("i").agg(
         F.min("x").alias("low"), F.max("x").alias("high"), F.max(moved).alias("moved")
     )
-    facts = {row.i: row for row in found.collect()} if numbers else {}
+    facts = {row.i: row for row in found.collect()}
     plan = []
     for i, f in enumerate(numbers):
         kind, fact = f.dataType.simpleString(), facts.get(i)

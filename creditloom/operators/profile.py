@@ -11,6 +11,7 @@ from creditloom.functions.scalar import clip, col
 from creditloom.functions.totals import correlation
 from creditloom.operators.columns import number_facts, stacked
 from creditloom.operators.quantiles import quantiles
+from creditloom.session import small_table
 
 
 def numeric_columns(df, without=()):
@@ -23,18 +24,17 @@ def string_columns(df, without=()):
 
 def _facts(spark, rows, schema):
     """A report of per-column facts; its rows are as many as the profiled table has columns."""
-    return spark.createDataFrame(rows, schema)
+    return small_table(spark, rows, schema)
 
 
 def missing_counts(df, columns=None):
     """Row count and number of missing values per column."""
     names = columns or df.columns
     found = stacked(df, [col(c).isNull() for c in names]).groupBy("i").agg(
-        F.count("*").alias("rows"), F.count_if("x").alias("missing")
+        F.count("*").alias("n"), F.count_if("x").alias("missing")
     )
     facts = {row.i: row for row in found.collect()}
-    rows = facts[0].rows if facts else 0
-    return rows, {name: facts[i].missing if facts else 0 for i, name in enumerate(names)}
+    return (facts[0].n if facts else 0), {name: facts[i].missing if facts else 0 for i, name in enumerate(names)}
 
 
 def missing_profile(df, columns=None):
@@ -153,7 +153,7 @@ def class_histogram(df, features=None, label=S.LABEL, bins=S.HISTOGRAM_BINS):
     names = [c for c in (features or S.BEHAVIOURAL) if c in df.columns]
     labelled = df.where(F.col(label).isin(0, 1))
     columns = {c: col(c).cast("double") for c in names}
-    facts = {c: fact for c, fact in number_facts(labelled, columns).items() if fact and fact.n}
+    facts = {c: fact for c, fact in number_facts(labelled, columns).items() if fact.n}
     columns = {c: columns[c] for c in facts}
     upper = quantiles(labelled, columns, [0.99], facts)
 
@@ -211,7 +211,7 @@ def class_weights(df, label=S.LABEL):
 def minmax(df, columns):
     """Smallest and largest value per column."""
     facts = number_facts(df, {c: col(c) for c in columns})
-    rows = [(c, fact.low, fact.high) if fact else (c, None, None) for c, fact in facts.items()]
+    rows = [(c, fact.low, fact.high) for c, fact in facts.items()]
     return _facts(df.sparkSession, rows, "column_name string, min_value double, max_value double")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from creditloom import settings as S
 from creditloom.operators.marts import rate_pct
+from creditloom.session import small_table
 
 Check = namedtuple("Check", "name severity offending")
 
@@ -87,7 +88,7 @@ def completeness(tables, expected=None):
                 F.lit(name).alias("table_name"), "actual_rows"
             )
             counts = one if counts is None else counts.unionByName(one)
-    wanted = spark.createDataFrame(list(expected.items()), "table_name string, expected_rows long")
+    wanted = small_table(spark, list(expected.items()), "table_name string, expected_rows long")
     share = F.col("actual_rows") / F.col("expected_rows")
     return wanted.join(F.broadcast(counts), "table_name", "left").select(
         "table_name", "expected_rows", "actual_rows",

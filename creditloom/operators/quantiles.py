@@ -16,6 +16,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from creditloom.operators.columns import number_facts, stacked
+from creditloom.session import small_table
 
 BINS = 1024
 # A search is finished by sorting once it holds this many values, and all searches together this many.
@@ -50,8 +51,8 @@ class _Search:
 def _in_reach(df, columns, searches):
     """Values within the bounds of each search, as rows (s, x, low, high, rank)."""
     used = sorted({s.i for s in searches})
-    table = df.sparkSession.createDataFrame(
-        [(k, used.index(s.i), s.low, s.high, s.rank) for k, s in enumerate(searches)], _SEARCH
+    table = small_table(
+        df.sparkSession, [(k, used.index(s.i), s.low, s.high, s.rank) for k, s in enumerate(searches)], _SEARCH
     )
     values = stacked(df, [columns[i] for i in used]).where(F.col("x").isNotNull())
     # one row per search: a few per column
@@ -129,7 +130,7 @@ def quantiles(df, columns, shares, facts=None, each=GATHER_EACH, total=GATHER_AL
     searches, parts = {}, {}
     for i, name in enumerate(columns):
         fact = facts[name]
-        if fact is None or not fact.n:
+        if not fact.n:
             continue
         if not math.isfinite(fact.high - fact.low):
             raise ValueError(f"infinite or not-a-number values in {name}")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from creditloom import settings as S
 from creditloom.functions.scalar import col
+from creditloom.session import small_table
 
 PREFIX_BITS = 16
 
@@ -35,8 +36,8 @@ def hash_cuts(df, key, ranks, group=None, seed=S.SEED, prefix_bits=PREFIX_BITS):
     counted = hashed.groupBy("g", "prefix").agg(F.count("*").alias("n")).withColumn(
         "upto", F.sum("n").over(per_group)
     )
-    wanted = df.sparkSession.createDataFrame(
-        [(g, rank) for g, some in ranks.items() for rank in some if rank > 0], "g int, rank long"
+    wanted = small_table(
+        df.sparkSession, [(g, rank) for g, some in ranks.items() for rank in some if rank > 0], "g int, rank long"
     )
     targets = counted.join(F.broadcast(wanted), "g").where(
         (F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n"))

@@ -12,7 +12,7 @@ from creditloom.operators import (
     decision, features, joins, marts, models, prepare, profile, quality, ranking, sampling, summaries,
 )
 from creditloom.plans import lending
-from creditloom.session import fresh_path, shared_folder
+from creditloom.session import fresh_path, shared_folder, small_table
 from creditloom.sources import files, schemas
 from creditloom.sources.roles import Roles
 
@@ -382,7 +382,7 @@ def cast_label(d):
 @query
 def compact_types(d):
     plan = prepare.compact_types(d.roles.application)
-    return d.spark.createDataFrame(plan, "column_name string, from_type string, to_type string")
+    return small_table(d.spark, plan, "column_name string, from_type string, to_type string")
 
 
 @query

@@ -4,7 +4,9 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 
 def build_session(name="creditloom", master=None, **conf):
@@ -28,6 +30,18 @@ def build_session(name="creditloom", master=None, **conf):
     return builder.getOrCreate()
 
 
+_ARROW = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+
+
+def small_table(spark, rows, schema):
+    """A table from a few facts held by the driver, planned as local rows."""
+    fields = T.StructType.fromDDL(schema).fields
+    columns = [
+        pa.array([row[i] for row in rows], _ARROW[f.dataType.simpleString()]) for i, f in enumerate(fields)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=[f.name for f in fields]))
+
+
 def size_shuffles(spark, tables, target_bytes=128 * 2**20, most=200_000):
     """Start shuffles with enough partitions for the inputs' size, about ``target_bytes`` each.
 
