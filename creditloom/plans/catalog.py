@@ -654,7 +654,10 @@ def drop_sparse(d):
 def impute_median(d):
     fitted = d.fitted()
     df = prepare.drop_sparse(prepare.encode(d.engineered(), fitted, keep=[S.CUSTOMER]), fitted)
-    return prepare.impute(df, fitted)
+    # a column without missing values keeps its whole-number type; show all alike
+    numbers = set(fitted.numeric)
+    filled = prepare.impute(df, fitted)
+    return filled.select([col(c).cast("double").alias(c) if c in numbers else col(c) for c in filled.columns])
 
 
 @query

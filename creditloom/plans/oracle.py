@@ -543,7 +543,8 @@ QUERIES = {
     "encode_onehot": f"SELECT SK_ID_CURR, {_SEGMENT_FLAGS} FROM application",
     "drop_sparse": f"SELECT SK_ID_CURR, {_FLAG_CODE}, {_SEGMENT_FLAGS}, "
                    + ", ".join(c for c in NUMERIC if c not in _SPARSE) + " FROM features",
-    "impute_median": f"SELECT SK_ID_CURR, {_FLAG_CODE}, {_SEGMENT_FLAGS}, " + ", ".join(NUMERIC) + " FROM filled",
+    "impute_median": f"SELECT SK_ID_CURR, {_FLAG_CODE}, {_SEGMENT_FLAGS}, "
+                     + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC) + " FROM filled",
     "winsorise": "SELECT SK_ID_CURR, " + ", ".join(_CAPPED) + " FROM prepared",
     "slice_sets": """SELECT SK_ID_CURR, CAST(TARGET AS INT) AS TARGET, "SET" AS slice FROM apps""",
     "stratified_split_shares": """SELECT TARGET, count(*) AS n, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS held_out

@@ -1,9 +1,10 @@
-"""Compare registered queries with their SQL in DuckDB: names, row counts and exact values."""
+"""Compare registered queries with their SQL in DuckDB: names, types, row counts and exact values."""
 
 import duckdb
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 
 def connect(folder):
@@ -27,6 +28,10 @@ def differences(df, db, sql):
     """A short text on the first difference, empty when both results are the same."""
     found = df.collect()
     got_columns, got = _rows(df.columns, found)
+    kinds = {r[0]: r[1] for r in db.execute(f"DESCRIBE {sql}").fetchall()}
+    other = [(c, kind, kinds[c]) for c, kind in df.dtypes if c in kinds and KINDS.get(kind) != kinds[c]]
+    if other:
+        return f"types {other}"
     relation = db.execute(sql)
     want_columns, want = _rows([c[0] for c in relation.description], relation.fetchall())
     if got_columns != want_columns:
