@@ -17,6 +17,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from creditloom.llm.workers import map_batches
+
 START, END = "<|im_start|>", "<|im_end|>"
 ESCAPED_FLAG = "<|im_start||>"  # opens a turn whose role and text are escaped
 _CONFLICT = re.compile(r"<\|(?=\|*im_(?:start|end)\|)")
@@ -107,7 +109,7 @@ def format_turns(conversations, conv="conv_id", turn="turn", role="role", text="
         F.col(conv).cast("bigint").alias("conv_id"), F.col(turn).cast("bigint").alias("turn"),
         F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    return source.mapInArrow(rendered, _RENDERED)
+    return map_batches(source, rendered, _RENDERED)
 
 
 _DIGEST = (
@@ -167,7 +169,5 @@ def digest_formatted(formatted):
             yield packed(done)
 
     # The parts order like the turns they were made from, so the same order is restored from role and part.
-    return (
-        formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "rendered")
-        .select("conv_id", "rendered", "loss").mapInArrow(read, _DIGEST)
-    )
+    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "rendered")
+    return map_batches(ordered.select("conv_id", "rendered", "loss"), read, _DIGEST)

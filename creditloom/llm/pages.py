@@ -14,6 +14,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import types as T
 
+from creditloom.llm.workers import map_batches
+
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg math object canvas audio video select".split())
@@ -297,4 +299,4 @@ def extract_pages(df, html="html"):
                     names=[*given, "text", "n_chars"],
                 )
 
-    return source.mapInArrow(extracted, schema)
+    return map_batches(source, extracted, schema)

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from creditloom.llm import chat, pages, unigram, urls
+from creditloom.llm import chat, decontaminate, packing, pages, quality, repeats, token_files, unigram, urls
 
 # The rules the URL query states.
 URL_RULES = [
@@ -21,6 +21,11 @@ def _table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_rules(spark, folder):
+    judged = quality.judge_quality(_table(spark, folder, "documents").select("doc_id", "text"))
+    return judged.drop("text")
+
+
 def op3_chat_format(spark, folder):
     extra = spark.createDataFrame(
         [(-1, 0, "user", HOSTILE_TURN), (-1, 1, "assistant", HOSTILE_TURN)],
@@ -30,23 +35,48 @@ def op3_chat_format(spark, folder):
     return chat.digest_formatted(chat.format_turns(turns))
 
 
+def op4_repeated_passages(spark, folder):
+    cut = repeats.dedup_substrings(_table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_html_main_text(spark, folder):
     return pages.extract_pages(_table(spark, folder, "pages").select("page_id", "url", "html"))
 
 
+def op6_decontaminate(spark, folder):
+    documents, benchmark = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return decontaminate.find_overlaps(documents.select("doc_id", "text"), benchmark).drop("text")
+
+
+def op7_token_files(spark, folder):
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.encode_documents(_table(spark, folder, "documents"), tokenizer, end_id=2)
+
+
 def op8_url_rules(spark, folder):
     judged = urls.judge_urls(_table(spark, folder, "pages").select("page_id", "url"), urls.rule_table(spark, URL_RULES))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_pack_sequences(spark, folder):
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(_table(spark, folder, "documents"), tokenizer, end_id=0, capacity=2048)
+
+
 def op10_unigram_counts(spark, folder):
     return unigram.count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_chat_format": op3_chat_format,
+    "op4_repeated_passages": op4_repeated_passages,
     "op5_html_main_text": op5_html_main_text,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_token_files": op7_token_files,
     "op8_url_rules": op8_url_rules,
+    "op9_pack_sequences": op9_pack_sequences,
     "op10_unigram_counts": op10_unigram_counts,
 }
 
@@ -89,4 +119,54 @@ SELECT page_id, host, path, split_part(found, ' ', 1) AS rule,
   coalesce(split_part(found, ' ', 2), 'allow') AS verdict FROM judged
 """
 
-SQL = {"op3_chat_format": _OP3, "op8_url_rules": _OP8}
+_OP4 = """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS content
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)
+), later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) AS place FROM windows
+  ) WHERE place > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM later, (SELECT unnest(range(0, 20)) AS k)
+), each AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+), lost AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
+_OP6 = """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+  FROM benchmark WHERE item_id IS NOT NULL
+), sized AS (SELECT item, ws, least(len(ws), 13) AS n FROM b WHERE len(ws) > 0),
+bw AS (
+  SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS content
+  FROM (SELECT item, n, ws, unnest(range(1, len(ws) - n + 2)) AS i FROM sized)
+), dw AS (
+  SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS content
+  FROM (SELECT doc_id, n, ws, unnest(range(1, len(ws) - n + 2)) AS i
+        FROM w, (SELECT DISTINCT n FROM sized) WHERE len(ws) >= n)
+), hits AS (SELECT doc_id, i, n, item FROM dw JOIN bw USING (n, content)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+SQL = {"op3_chat_format": _OP3, "op4_repeated_passages": _OP4, "op6_decontaminate": _OP6, "op8_url_rules": _OP8}

@@ -50,3 +50,12 @@ def fresh_name(name, taken):
     while name.lower() in used:
         name += "_"
     return name
+
+
+def let(value, body):
+    """``body(value)`` with ``value`` computed once per row.
+
+    A column used inside another column's lambda would be computed anew for each
+    element once the optimizer merges the projections; a lambda's argument is not.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from creditloom.llm.words import Words, text_slices
+from creditloom.llm.workers import map_batches
 
 SPACE = "▁"  # opens every pre-token
 ZIPF_SHIFT = 2.7  # fixed value: the usual shift of Zipf's law
@@ -109,4 +110,4 @@ def count_tokens(df, vocabulary, doc="doc_id", text="text"):
                     names=["doc_id", "n_words", "n_tokens"],
                 )
 
-    return source.mapInArrow(counted, "doc_id bigint, n_words bigint, n_tokens bigint")
+    return map_batches(source, counted, "doc_id bigint, n_words bigint, n_tokens bigint")

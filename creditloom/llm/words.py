@@ -31,13 +31,13 @@ def joined(a, b):
     return mixed(a * _K1 + mixed(b + _K2))
 
 
-def text_slices(texts):
-    """Cut an Arrow text array into (first row, slice) of about SLICE_BYTES each."""
+def text_slices(texts, size=SLICE_BYTES):
+    """Cut an Arrow text array into (first row, slice) of about ``size`` bytes each."""
     texts = texts.cast(pa.large_string())
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     first = 0
     while first < len(texts):
-        last = int(np.searchsorted(ends, ends[first] + SLICE_BYTES, "right")) - 1
+        last = int(np.searchsorted(ends, ends[first] + size, "right")) - 1
         last = min(max(last, first + 1), len(texts))
         yield first, texts.slice(first, last - first)
         first = last
@@ -76,24 +76,28 @@ class Words:
 
     def hashes(self, fold=None):
         """A 64-bit hash of each word; ``fold`` is a 256-entry byte map applied first."""
-        data = self.data if fold is None else fold[self.data]
-        size = (self.ends - self.starts).astype(np.int64)
-        padded = np.concatenate([data, np.zeros(8, np.uint8)])
-        eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
-        out = mixed(size.astype(np.uint64) + _K2)
-        live = np.flatnonzero(size <= _LONG)
-        at = 0
-        while len(live):
-            left = size[live] - at
-            keep = np.where(left >= 8, np.uint64(0xFFFFFFFFFFFFFFFF),
-                            (np.uint64(1) << (np.minimum(left, 7).astype(np.uint64) * np.uint64(8))) - np.uint64(1))
-            out[live] = joined(out[live], eight[self.starts[live] + at] & keep)
-            at += 8
-            live = live[left > 8]
-        for i in np.flatnonzero(size > _LONG):
-            piece = data[self.starts[i]:self.ends[i]].tobytes()
-            out[i] = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little")
-        return out
+        return span_hashes(self.data if fold is None else fold[self.data], self.starts, self.ends)
+
+
+def span_hashes(data, starts, ends):
+    """A 64-bit hash of each byte span of ``data``."""
+    size = (ends - starts).astype(np.int64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    out = mixed(size.astype(np.uint64) + _K2)
+    live = np.flatnonzero(size <= _LONG)
+    at = 0
+    while len(live):
+        left = size[live] - at
+        keep = np.where(left >= 8, np.uint64(0xFFFFFFFFFFFFFFFF),
+                        (np.uint64(1) << (np.minimum(left, 7).astype(np.uint64) * np.uint64(8))) - np.uint64(1))
+        out[live] = joined(out[live], eight[starts[live] + at] & keep)
+        at += 8
+        live = live[left > 8]
+    for i in np.flatnonzero(size > _LONG):
+        piece = data[starts[i]:ends[i]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little")
+    return out
 
 
 def window_hashes(word_hashes, per_doc, length):
