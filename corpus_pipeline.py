@@ -1,8 +1,49 @@
 """The corpus pipeline: stages that each filter, cut or pack what the one before kept."""
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from creditloom.llm import decontaminate, forest, packing, quality, repeats
 from creditloom.llm.scratch import Scratch
 
-STAGES = []
+PASSAGE_WORDS = 50  # shortest passage that is cut where it repeats
+
+
+def quality_rules(spark, docs, sf_dir):
+    """Documents that the rules, weighed by their estimated accuracies, call good."""
+    return quality.judge_quality(docs).where("kept").select(*docs.columns)
+
+
+def near_dedup(spark, docs, sf_dir):
+    """One document, that with the smallest id, of each group with similar five-word shingles; those without id stay."""
+    gone = forest.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def substring_dedup(spark, docs, sf_dir):
+    """All documents, with passages that also occur earlier cut out."""
+    cut = repeats.dedup_substrings(docs, PASSAGE_WORDS)
+    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def decontamination(spark, docs, sf_dir):
+    """Documents with under five percent of their words in benchmark passages."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.find_overlaps(docs, benchmark).where("NOT contaminated").select(*docs.columns)
+
+
+def best_fit_packing(spark, docs, sf_dir):
+    """Pieces of all documents and their places in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
 
 # Clustering by similarity, estimated accuracies and packing have no SQL form.
 ORACLE_SQL = None

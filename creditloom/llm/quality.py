@@ -18,10 +18,11 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8  # words of the windows that count as repeated
 GOOD, BAD = 1, 0
 
-# Beliefs before any text is seen: a share of texts is bad, and a rule seldom calls a good text bad.
-PRIOR_BAD, BAD_IF_BAD, BAD_IF_GOOD = 0.15, 0.35, 0.02
+# Beliefs that EM starts from and stays within: some texts are bad, a rule catches some kind of them, and calls
+# few good texts bad.
+PRIOR_BAD, CATCHES, LEAST_CATCHES, MOST_FALSE = 0.15, 0.2, 0.05, 0.01
 BELIEF = 20.0  # texts that these beliefs count as
-ROUNDS = 200
+ROUNDS = 300
 SETTLED = 1e-9
 
 
@@ -122,8 +123,7 @@ def estimate(patterns, n_rules):
     ``patterns`` are (votes, count) with votes GOOD, BAD or None; there are at
     most three to the power of the number of rules.
     """
-    start = {GOOD: BAD_IF_GOOD, BAD: BAD_IF_BAD}
-    bad_vote = [dict(start) for _ in range(n_rules)]  # per rule: chance of a bad vote in either class
+    bad_vote = [{GOOD: MOST_FALSE, BAD: CATCHES} for _ in range(n_rules)]  # chance of a bad vote in either class
     good_share = 1 - PRIOR_BAD
 
     def posterior(votes):
@@ -152,8 +152,8 @@ def estimate(patterns, n_rules):
         old = [good_share, *(c for chance in bad_vote for c in chance.values())]
         good_share = (good + BELIEF * (1 - PRIOR_BAD)) / (good + bad + BELIEF)
         for chance, (gb, g, bb, b) in zip(bad_vote, hits):
-            chance[GOOD] = (gb + BELIEF * BAD_IF_GOOD) / (g + BELIEF)
-            chance[BAD] = (bb + BELIEF * BAD_IF_BAD) / (b + BELIEF)
+            chance[GOOD] = min(MOST_FALSE, (gb + BELIEF * MOST_FALSE / 2) / (g + BELIEF))
+            chance[BAD] = max(LEAST_CATCHES, (bb + BELIEF * CATCHES) / (b + BELIEF))
         new = [good_share, *(c for chance in bad_vote for c in chance.values())]
         if max(abs(a - b) for a, b in zip(old, new)) < SETTLED:
             break
@@ -180,7 +180,10 @@ def judge_quality(df, text="text", keep_at=0.5):
                "good_probability", "kept")
     n_rules = len(rules())
     names = [f"v{i}" for i in range(n_rules)]
-    counted = with_statistics(df.select(df[f"`{text}`"])).select(*_votes()).groupBy(*names).count().collect()
+    failed = (F.col("q_n_words") < 20) | (100 * F.col("q_repeat_words") > 30 * F.col("q_n_words"))
+    # The base rule decides alone about what it fails; the votes are about the rest.
+    passed = with_statistics(df.select(df[f"`{text}`"]), text).where(~failed)
+    counted = passed.select(*_votes()).groupBy(*names).count().collect()
     good_share, weights = estimate([(tuple(r[n] for n in names), r["count"]) for r in counted], n_rules)
 
     given = [c for c in df.columns if c.lower() not in results and not c.lower().startswith("q_") or c == text]
@@ -188,7 +191,6 @@ def judge_quality(df, text="text", keep_at=0.5):
     odds = F.lit(math.log(good_share / (1 - good_share)))
     for vote, weight in zip(_votes(), weights):
         odds = odds + F.when(vote == BAD, weight[BAD]).when(vote == GOOD, weight[GOOD]).otherwise(0.0)
-    failed = (F.col("q_n_words") < 20) | (100 * F.col("q_repeat_words") > 30 * F.col("q_n_words"))
     probability = 1 / (1 + F.exp(-odds))
     return stats.select(
         *[F.col(f"`{c}`") for c in given],

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from creditloom.llm import chat, decontaminate, packing, pages, quality, repeats, token_files, unigram, urls
+from creditloom.llm import chat, decontaminate, forest, packing, pages, quality, repeats, token_files, unigram, urls
 
 # The rules the URL query states.
 URL_RULES = [
@@ -26,6 +26,10 @@ def op1_quality_rules(spark, folder):
     return judged.drop("text")
 
 
+def op2_near_duplicates(spark, folder):
+    return forest.near_duplicates(_table(spark, folder, "documents"), shingle=4)
+
+
 def op3_chat_format(spark, folder):
     extra = spark.createDataFrame(
         [(-1, 0, "user", HOSTILE_TURN), (-1, 1, "assistant", HOSTILE_TURN)],
@@ -70,6 +74,7 @@ def op10_unigram_counts(spark, folder):
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_chat_format": op3_chat_format,
     "op4_repeated_passages": op4_repeated_passages,
     "op5_html_main_text": op5_html_main_text,
