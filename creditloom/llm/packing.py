@@ -40,13 +40,10 @@ class _Bins:
         if not self.by_room[room]:
             self.mask &= ~(1 << room)
 
-    def tightest(self, size, most=None):
-        """Least room of at least ``size`` (and at most ``most``) that a bin has; -1 if there is none."""
+    def tightest(self, size):
+        """Least room of at least ``size`` that a bin has; -1 if there is none."""
         found = self.mask >> size
-        if not found:
-            return -1
-        room = size + (found & -found).bit_length() - 1
-        return room if most is None or room <= most else -1
+        return size + (found & -found).bit_length() - 1 if found else -1
 
     def open(self):
         self.items.append({})
@@ -72,34 +69,47 @@ class _Bins:
 
 
 def _improve(bins, steps):
-    """Empty bins by moves that raise the sum of squared fills.
+    """Empty bins by exchanges that raise the sum of squared fills.
 
     The emptiest bin gives its items away: an item moves to the fullest bin
-    with room for it; else it changes places with a smaller item of a bin whose
-    room takes the difference (one for one), or with two smaller ones. A bin
-    that has nothing left is gone. Every step moves fill from an emptier bin to a fuller one.
+    with room for it; else it changes places with a smaller item of a fuller bin
+    whose room takes the difference (one for one), or with two smaller ones. If
+    none of its items can, two other underfull bins exchange items the same way,
+    which leaves more room in one of them. A bin that has nothing left is gone.
     """
     fixed = set()
-    while steps > 0:
-        total = sum(bins.fill)
-        used = [b for b in range(len(bins.fill)) if bins.fill[b]]
-        if len(used) <= -(-total // bins.capacity):
-            return
-        victim = min((b for b in used if b not in fixed), key=bins.fill.__getitem__, default=None)
+    least, used = -(-sum(bins.fill) // bins.capacity), sum(map(bool, bins.fill))
+    while steps > 0 and used > least:
+        victim = min((b for b, f in enumerate(bins.fill) if f and b not in fixed), key=bins.fill.__getitem__, default=None)
         if victim is None:
             return
-        progress = True
-        while progress and bins.fill[victim] and steps > 0:
-            progress = False
-            for size in sorted(bins.items[victim], reverse=True):
-                steps -= 1
-                if _give(bins, victim, size):
-                    progress = True
+        while bins.fill[victim] and steps > 0:
+            steps -= 1
+            if not any(_give(bins, victim, size) for size in sorted(bins.items[victim], reverse=True)):
+                if not _exchange_others(bins, victim):
                     break
         if bins.fill[victim]:
             fixed.add(victim)
         else:
             bins._unfile(victim)  # closed
+            used -= 1
+
+
+def _exchange_others(bins, victim, look=32):
+    """One exchange between underfull bins other than ``victim``, out of one of the ``look`` emptiest."""
+    bins._unfile(victim)
+    try:
+        seen, mask = 0, bins.mask & ~1
+        while mask and seen < look:
+            room = mask.bit_length() - 1
+            mask &= ~(1 << room)
+            for b in list(bins.by_room[room])[:look - seen]:
+                seen += 1
+                if any(_give(bins, b, size) for size in sorted(bins.items[b], reverse=True)):
+                    return True
+        return False
+    finally:
+        bins._file(victim)
 
 
 def _give(bins, victim, size):
@@ -108,6 +118,8 @@ def _give(bins, victim, size):
     try:
         room = bins.tightest(size)
         target = next(iter(bins.by_room[room])) if room >= 0 else None
+        if target is not None and bins.fill[target] + size <= bins.fill[victim]:
+            target = None
         partner, gives = None, ()
         if target is None:
             partner, gives = _partner(bins, victim, size)

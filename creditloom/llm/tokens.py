@@ -6,7 +6,6 @@ across slices through a bounded store.
 """
 
 import numpy as np
-import pyarrow as pa
 
 from creditloom.llm.words import Words, span_hashes
 
@@ -122,7 +121,3 @@ def with_end(ids, per_doc, end_id):
     """``end_id`` after the ids of each document."""
     after = np.cumsum(per_doc)
     return np.insert(ids, after, end_id), per_doc + 1
-
-
-def as_list_batch(arrays, names):
-    return pa.RecordBatch.from_arrays(arrays, names=names)
