@@ -19,7 +19,7 @@ from creditloom.llm.words import text_slices
 from creditloom.llm.workers import map_batches, map_groups
 
 GROUP_ITEMS = 50_000  # items packed together, about
-SEARCH_STEPS = 200_000  # exchanges that the local search of one group tries at most
+SEARCH_STEPS = 20_000  # items that the local search of one group tries to exchange at most; best fit has placed all before
 
 
 class _Bins:
@@ -79,15 +79,19 @@ def _improve(bins, steps):
     """
     fixed = set()
     least, used = -(-sum(bins.fill) // bins.capacity), sum(map(bool, bins.fill))
-    while steps > 0 and used > least:
+    tries = iter(range(steps))
+
+    def gives(b):
+        return any(_give(bins, b, size) for size in sorted(bins.items[b], reverse=True) if next(tries, None) is not None)
+
+    while used > least:
         victim = min((b for b, f in enumerate(bins.fill) if f and b not in fixed), key=bins.fill.__getitem__, default=None)
         if victim is None:
             return
-        while bins.fill[victim] and steps > 0:
-            steps -= 1
-            if not any(_give(bins, victim, size) for size in sorted(bins.items[victim], reverse=True)):
-                if not _exchange_others(bins, victim):
-                    break
+        while bins.fill[victim] and (gives(victim) or _exchange_others(bins, victim, gives)):
+            pass
+        if next(tries, None) is None:
+            return
         if bins.fill[victim]:
             fixed.add(victim)
         else:
@@ -95,7 +99,7 @@ def _improve(bins, steps):
             used -= 1
 
 
-def _exchange_others(bins, victim, look=32):
+def _exchange_others(bins, victim, gives, look=32):
     """One exchange between underfull bins other than ``victim``, out of one of the ``look`` emptiest."""
     bins._unfile(victim)
     try:
@@ -105,7 +109,7 @@ def _exchange_others(bins, victim, look=32):
             mask &= ~(1 << room)
             for b in list(bins.by_room[room])[:look - seen]:
                 seen += 1
-                if any(_give(bins, b, size) for size in sorted(bins.items[b], reverse=True)):
+                if gives(b):
                     return True
         return False
     finally:
