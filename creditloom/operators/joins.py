@@ -4,48 +4,18 @@ from pyspark.sql import functions as F
 
 from creditloom.settings import CUSTOMER, LABEL, SET
 
-# A key is heavy when it holds this share of the rows and this many of them, so
-# there are at most 1 / HEAVY_SHARE heavy keys whatever the data.
-HEAVY_SHARE = 0.005
-HEAVY_ROWS = 200_000
-_TRACKED = 10_000
 
-
-def heavy_keys(df, key, share=HEAVY_SHARE, min_rows=HEAVY_ROWS):
-    """Keys that would overload one task, None among them if the key is often missing.
-
-    One pass over one column with a bounded frequency sketch per task and no
-    shuffle by key. The sketch's error is about 4 / _TRACKED of the rows, far
-    below ``share``; a key it reports in excess does no harm.
-    """
-    limit = int(1 / share)
-    found = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {limit}, {_TRACKED})").alias("top"), F.count("*").alias("n")
-    ).first()
-    floor = max(min_rows, share * found["n"])
-    return [row[0] for row in found["top"] if row[1] >= floor]
-
-
-def left_join_unique(spine, tables, key, heavy=None):
+def left_join_unique(spine, tables, key):
     """Left-join tables that are unique on ``key``, one after the other.
 
     Tables summarised by the key are already partitioned by it, so the joins add
-    one shuffle for the spine and none for the tables. Spine rows with a heavy
-    key would all meet in one task; they stay where they are instead and meet
-    the table rows of the heavy keys by broadcast, at most 1 / HEAVY_SHARE rows
-    per table. ``heavy`` gives the keys if they are already known.
+    one shuffle for the spine and none for the tables. Spine rows without a key
+    match nothing; they are added after the joins instead of meeting in one
+    task. A key with very many spine rows is left to adaptive execution, which
+    splits it. Building the plan runs no job.
     """
-    keys = heavy_keys(spine, key) if heavy is None else list(heavy)
-    if not keys:
-        return _left_joins(spine, tables, key)
-    column = F.col(key)
-    listed = column.isin([k for k in keys if k is not None])
-    apart = column.isNull() if None in keys else F.lit(False)
-    apart = apart | F.coalesce(listed, F.lit(False))
-    few = [F.broadcast(table.where(listed)) for table in tables]
-    return _left_joins(spine.where(~apart), tables, key).unionByName(
-        _left_joins(spine.where(apart), few, key)
-    )
+    joined = _left_joins(spine.where(F.col(key).isNotNull()), tables, key)
+    return joined.unionByName(spine.where(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def _left_joins(spine, tables, key):
@@ -62,9 +32,9 @@ def union_sets(train, test):
     )
 
 
-def customer_view(applications, summaries, heavy=None):
+def customer_view(applications, summaries):
     """One row per application with the features of all summaries, in the given order."""
-    return left_join_unique(applications, summaries, CUSTOMER, heavy)
+    return left_join_unique(applications, summaries, CUSTOMER)
 
 
 def key_profile(df, name, key=CUSTOMER):

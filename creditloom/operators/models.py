@@ -6,7 +6,7 @@ from datetime import datetime
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import SparkSession
@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from creditloom import settings as S
 from creditloom.functions.scalar import col, quoted, unquoted
 from creditloom.operators.profile import class_counts
+from creditloom.operators.quantiles import medians
 from creditloom.operators.ranking import class_report, ranking_summary
 from creditloom.operators.sampling import fold_column, sample_rows
 from creditloom.session import small_table
 
 WEIGHT = "_weight"
 FEATURES = "_features"
+ROWS_PER_PARTITION = 50_000  # of the rows to train on, at least
 
 # Hyperparameters per learner.
 LEARNERS = {
@@ -72,26 +74,54 @@ def weighted(df, label=S.LABEL, kind="balanced", counts=None):
     return rows, w0 * counts[0] + w1 * counts[1], counts[0] + counts[1]
 
 
-def learner(name, features, label, total_weight, rows, seed=S.SEED, **overrides):
-    """Assembler, scaler where the learner needs one, and the learner as one Spark ML workflow."""
-    stages = [VectorAssembler(inputCols=[quoted(c) for c in features], outputCol=FEATURES)]
+def _imputer(fill):
+    """A stage that replaces missing features by ``fill``, stored with the model."""
+    names = ", ".join(quoted(c) for c in fill)
+    full = ", ".join(f"coalesce(CAST({quoted(c)} AS DOUBLE), {float(v)!r}D) AS {quoted(c)}" for c, v in fill.items())
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({names}), {full} FROM __THIS__")
+
+
+def learner(name, fill, label, total_weight, rows, seed=S.SEED, **overrides):
+    """Imputer, assembler, scaler where the learner needs one, and the learner as one Spark ML workflow.
+
+    ``fill`` maps the features to the values that stand for missing ones.
+    """
+    stages = [_imputer(fill), VectorAssembler(inputCols=[quoted(c) for c in fill], outputCol=FEATURES)]
     if name == "logistic":
         stages.append(StandardScaler(inputCol=FEATURES, outputCol="_scaled", withMean=True, withStd=True))
     return Pipeline(stages=[*stages, _estimator(name, label, total_weight, rows, seed, overrides)])
 
 
-def fit_model(name, df, features, label=S.LABEL, seed=S.SEED, **overrides):
-    """Fit a learner on prepared rows. Overrides replace single hyperparameters."""
-    kind = LEARNERS[name]["weights"]
-    rows, total_weight, n = weighted(df.select(label, *[col(c) for c in features]), label, kind)
-    return learner(name, features, label, total_weight, n, seed, **overrides).fit(rows)
+def fill_values(df, features):
+    """Median of each feature over the rows to train on; 0 for one without values."""
+    return {c: m if m is not None else 0.0 for c, m in medians(df, {c: col(c) for c in features}).items()}
+
+
+def fit_model(name, df, features, label=S.LABEL, seed=S.SEED, most_rows=None, **overrides):
+    """Fit a learner on rows that may miss features. Overrides replace single hyperparameters.
+
+    ``most_rows`` bounds the labelled rows to train on, drawn by a hash of their
+    values; without it all rows are used. Small inputs are gathered into few
+    partitions, as boosting runs thousands of short stages.
+    """
+    rows = df.where(F.col(label).isNotNull()).select(label, *[col(c) for c in features])
+    if most_rows is not None:
+        rows = rows.orderBy(F.xxhash64(*[col(c) for c in rows.columns])).limit(most_rows)
+    fill = fill_values(rows, features)
+    rows, total_weight, n = weighted(rows, label, LEARNERS[name]["weights"])
+    rows = rows.coalesce(max(1, -(-n // ROWS_PER_PARTITION)))
+    return learner(name, fill, label, total_weight, n, seed, **overrides).fit(rows)
+
+
+def _features(model):
+    """The quoted names of the columns a stored model reads."""
+    return next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
 
 
 def score_rows(model, df, key=S.CUSTOMER, label=None):
-    """Probability of default and predicted class per row; the label beside them if given."""
-    features = model.stages[0].getInputCols()
+    """Probability of default and predicted class per row; the label beside them if given. Features may be missing."""
     kept = [col(key).alias(key)] + ([F.col(label).cast("int").alias("label")] if label else [])
-    rows = df.select(*kept, *[F.col(c) for c in features])
+    rows = df.select(*kept, *[F.col(c) for c in _features(model)])
     return model.transform(rows).select(
         key, *(["label"] if label else []),
         vector_to_array("probability")[1].alias("score"),
@@ -122,7 +152,7 @@ def feature_importance(model, k=S.TOP_IMPORTANCES):
     """The k most important features: impurity importance, or absolute coefficient."""
     last = model.stages[-1]
     values = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-    names = model.stages[0].getInputCols()
+    names = _features(model)
     rows = [(unquoted(name), abs(float(v))) for name, v in zip(names, values.toArray())]
     return small_table(SparkSession.active(), rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
@@ -141,7 +171,7 @@ def cross_validate(
     sample, total_weight, n = weighted(sample, label, LEARNERS[name]["weights"])
     # each fit sees all folds but one
     kept = (folds - 1) / folds
-    workflow = learner(name, features, label, total_weight * kept, n * kept, seed, **overrides)
+    workflow = learner(name, fill_values(sample, features), label, total_weight * kept, n * kept, seed, **overrides)
     validator = CrossValidator(
         estimator=workflow,
         estimatorParamMaps=ParamGridBuilder().build(),

@@ -9,13 +9,13 @@ import json
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditloom import settings as S
 from creditloom.functions.scalar import clip, col
 from creditloom.operators.columns import number_facts, stacked
 from creditloom.operators.profile import distinct_values, missing_counts, numeric_columns, string_columns
 from creditloom.operators.quantiles import medians, quantiles
-from creditloom.session import small_table
 
 MISSING_CLASS = "None"
 MAX_CATEGORIES = 20_000
@@ -23,13 +23,18 @@ MAX_CATEGORIES = 20_000
 
 @dataclass
 class Preparation:
-    """Fitted facts: columns kept, category codes, fill values and caps."""
+    """Fitted facts: columns kept, category codes, fill values and caps.
+
+    ``filled`` lists the columns that missed values when fitted; ``medians`` has
+    a value for every kept number, as later rows may miss others.
+    """
 
     numeric: list = field(default_factory=list)
     binary: dict = field(default_factory=dict)
     one_hot: dict = field(default_factory=dict)
     sparse: list = field(default_factory=list)
     medians: dict = field(default_factory=dict)
+    filled: list = field(default_factory=list)
     caps: dict = field(default_factory=dict)
 
     def to_json(self):
@@ -54,24 +59,45 @@ class Preparation:
 
 
 def _rank_code(name, values):
-    """Rank of the value in text order; a missing value is the class 'None'."""
+    """Rank of the value in text order; a missing value is the class 'None'.
+
+    A value that was not there when fitted, or the first missing one, gets the
+    next code after them.
+    """
     text = F.coalesce(col(name), F.lit(MISSING_CLASS))
     chain = F
     for rank, value in enumerate(values):
         chain = chain.when(text == value, F.lit(rank))
-    return chain
+    return chain.otherwise(F.lit(len(values)))
 
 
 def _is_value(name, value):
     return F.when(col(name) == value, F.lit(1)).otherwise(F.lit(0))
 
 
+def plain_types(df):
+    """Booleans as 0 and 1, dates and times as text; columns of other types than these, numbers and text are refused."""
+    def plain(f):
+        if isinstance(f.dataType, T.BooleanType):
+            return col(f.name).cast("int").alias(f.name)
+        if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return col(f.name).cast("string").alias(f.name)
+        if not isinstance(f.dataType, (T.NumericType, T.StringType)):
+            raise TypeError(f"column {f.name} of type {f.dataType.simpleString()} has no place in the matrix")
+        return col(f.name)
+
+    if all(isinstance(f.dataType, (T.NumericType, T.StringType)) for f in df.schema):
+        return df
+    return df.select([plain(f) for f in df.schema])
+
+
 def fit_encoding(df, label=S.LABEL, limit=MAX_CATEGORIES):
     """Categories of every string column: up to two distinct values give codes, more give flags.
 
     One job. The categories become columns, so their number is bounded by what a
     table can hold; above ``limit`` in total the fit stops and names the columns.
     """
+    df = plain_types(df)
     names = string_columns(df, without=S.NOT_FEATURES + [label])
     fitted = Preparation(numeric=numeric_columns(df, without=S.NOT_FEATURES + [label]))
     if not names:
@@ -96,6 +122,7 @@ def fit(df, label=S.LABEL, limit_pct=S.MISSING_LIMIT_PCT):
     Pass labelled and unlabelled rows together to take the statistics over both,
     or the training rows alone to keep the rest unseen.
     """
+    df = plain_types(df)
     fitted = fit_encoding(df, label)
     facts = number_facts(df, {**{c: col(c) for c in fitted.numeric}, "": F.lit(0)})
     rows = facts.pop("").n
@@ -107,7 +134,8 @@ def fit(df, label=S.LABEL, limit_pct=S.MISSING_LIMIT_PCT):
     empty = [c for c in kept if not facts[c].n]
     if empty:
         raise ValueError(f"no value to impute from in: {empty}")
-    fitted.medians = medians(df, {c: col(c) for c in kept if missing[c]}, facts)
+    fitted.medians = medians(df, {c: col(c) for c in kept}, facts)
+    fitted.filled = [c for c in kept if missing[c]]
     fitted.caps = quantiles(df, {c: _filled(fitted, c) for c in S.CAPPED if c in kept}, [0.01, 0.99])
     return fitted
 
@@ -123,6 +151,7 @@ def _filled(fitted, name):
 
 def encode(df, fitted, keep=(S.CUSTOMER, S.SET, S.LABEL)):
     """Strings as numbers: one projection, keys and label kept beside the matrix."""
+    df = plain_types(df)
     kept = [col(c) for c in keep if c in df.columns]
     return df.select(*kept, *[e.alias(name) for name, e in fitted.encoded()])
 
@@ -133,8 +162,19 @@ def drop_sparse(df, fitted):
 
 
 def impute(df, fitted):
-    """Missing numbers replaced by the fitted medians."""
-    return df.withColumns({c: F.coalesce(col(c).cast("double"), F.lit(m)) for c, m in fitted.medians.items()})
+    """Missing numbers replaced by the fitted medians.
+
+    Columns that missed values when fitted become doubles; others keep their
+    type, and a whole-number one takes the median rounded.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+
+    def full(name, median):
+        if name in fitted.filled or not isinstance(kinds[name], T.IntegralType):
+            return F.coalesce(col(name).cast("double"), F.lit(median))
+        return F.coalesce(col(name), F.lit(round(median)).cast(kinds[name]))
+
+    return df.withColumns({c: full(c, m) for c, m in fitted.medians.items()})
 
 
 def cap(df, fitted):
@@ -149,9 +189,7 @@ def apply(df, fitted, keep=(S.CUSTOMER, S.SET, S.LABEL)):
 
 def remaining_nulls(df, columns):
     """Rows (column_name, nulls) of columns that still miss values; none when all is well."""
-    missing = missing_counts(df, columns)[1]
-    rows = [(c, n) for c, n in missing.items() if n]
-    return small_table(df.sparkSession, rows, "column_name string, nulls long")
+    return missing_counts(df, columns).where("missing > 0").select("column_name", F.col("missing").alias("nulls"))
 
 
 def check_no_nulls(df, columns):

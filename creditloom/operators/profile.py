@@ -27,24 +27,34 @@ def _facts(spark, rows, schema):
     return small_table(spark, rows, schema)
 
 
+def _named(columns):
+    """The name of column ``i`` of a stacked table."""
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1)
+
+
+def _all_named(found, columns, **absent):
+    """``found`` (by i) with a row for each of the columns; ``absent`` are the values of those it lacks."""
+    every = found.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("i"))
+    rows = every.join(F.broadcast(found), "i", "left")
+    return rows.select(_named(columns).alias("column_name"), *[
+        F.coalesce(c, F.lit(value)).alias(c) if value is not None else F.col(c) for c, value in absent.items()
+    ])
+
+
 def missing_counts(df, columns=None):
-    """Row count and number of missing values per column."""
+    """Rows (column_name, missing, n): missing values and rows of each column; none for an empty table."""
     names = columns or df.columns
-    found = stacked(df, [col(c).isNull() for c in names]).groupBy("i").agg(
+    return stacked(df, [col(c).isNull() for c in names]).groupBy("i").agg(
         F.count("*").alias("n"), F.count_if("x").alias("missing")
-    )
-    facts = {row.i: row for row in found.collect()}
-    return (facts[0].n if facts else 0), {name: facts[i].missing if facts else 0 for i, name in enumerate(names)}
+    ).select(_named(names).alias("column_name"), "missing", "n")
 
 
 def missing_profile(df, columns=None):
     """Columns with missing values, their count and percentage, most missing first."""
-    rows, missing = missing_counts(df, columns)
-    found = [(name, n, rows) for name, n in missing.items() if n]
-    return _facts(df.sparkSession, found, "column_name string, missing_count long, n long").select(
+    return missing_counts(df, columns).where("missing > 0").select(
         "column_name",
-        "missing_count",
-        F.bround(F.col("missing_count") / F.col("n") * 100, 2).alias("missing_pct"),
+        F.col("missing").alias("missing_count"),
+        F.bround(F.col("missing") / F.col("n") * 100, 2).alias("missing_pct"),
     ).orderBy(F.desc("missing_pct"), "column_name")
 
 
@@ -62,10 +72,8 @@ def distinct_values(df, columns):
 def distinct_counts(df, columns=None):
     """Number of distinct present values per string column."""
     names = columns or string_columns(df)
-    found = distinct_values(df, names).groupBy("i").agg(F.count("value").alias("n"))
-    counts = {row.i: row.n for row in found.collect()}
-    rows = [(name, counts.get(i, 0)) for i, name in enumerate(names)]
-    return _facts(df.sparkSession, rows, "column_name string, distinct_values long")
+    found = distinct_values(df, names).groupBy("i").agg(F.count("value").alias("distinct_values"))
+    return _all_named(found, names, distinct_values=0)
 
 
 def rate_by(df, segment, labels, label=S.LABEL):
@@ -126,8 +134,7 @@ def label_correlations(df, columns, label=S.LABEL):
     found = stacked(df, values, keep=[F.col(label).cast("double").alias("y")]).groupBy("i").agg(
         correlation(F.col("x"), F.col("y")).alias("correlation")
     )
-    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1)
-    return found.select(name.alias("feature"), "correlation")
+    return found.select(_named(columns).alias("feature"), "correlation")
 
 
 def top_correlations(df, columns=None, label=S.LABEL, k=S.TOP_CORRELATIONS):
@@ -147,8 +154,9 @@ def class_histogram(df, features=None, label=S.LABEL, bins=S.HISTOGRAM_BINS):
     """Density of each feature per class over shared equal-width bins.
 
     Bins run from the minimum to the 99th percentile of both classes together
-    (to the maximum if these coincide); values are clipped and the last bin is
-    closed. Features without spread have no bins and are left out.
+    (to the maximum if these coincide; a feature without spread gets a range of
+    one around its value); values are clipped and the last bin is closed. Empty
+    bins have density 0. Features without values are left out.
     """
     names = [c for c in (features or S.BEHAVIOURAL) if c in df.columns]
     labelled = df.where(F.col(label).isin(0, 1))
@@ -160,8 +168,7 @@ def class_histogram(df, features=None, label=S.LABEL, bins=S.HISTOGRAM_BINS):
     spans = {}
     for c, fact in facts.items():
         top = upper[c][0] if upper[c][0] > fact.low else fact.high
-        if top > fact.low:
-            spans[c] = (fact.low, top)
+        spans[c] = (fact.low, top) if top > fact.low else (fact.low - 0.5, fact.low + 0.5)
     if not spans:
         return _facts(df.sparkSession, [], "feature string, label int, bin int, n long, density double")
 
@@ -185,9 +192,11 @@ def class_histogram(df, features=None, label=S.LABEL, bins=S.HISTOGRAM_BINS):
         .groupBy("feature", "label", "bin", "width").agg(F.count("*").alias("n"))
     )
     # at most features x 2 x bins rows from here on
-    sizes = counted.groupBy("feature", "label").agg(F.sum("n").alias("size"))
-    return counted.join(sizes, ["feature", "label"]).select(
-        "feature", "label", "bin", "n", (F.col("n") / (F.col("size") * F.col("width"))).alias("density")
+    sizes = counted.groupBy("feature", "label").agg(F.sum("n").alias("size"), F.any_value("width").alias("width"))
+    every = sizes.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    n = F.coalesce("n", F.lit(0))
+    return every.join(counted.drop("width"), ["feature", "label", "bin"], "left").select(
+        "feature", "label", "bin", n.alias("n"), (n / (F.col("size") * F.col("width"))).alias("density")
     )
 
 
@@ -200,19 +209,20 @@ def class_counts(df, label=S.LABEL):
 
 def class_weights(df, label=S.LABEL):
     """Balanced weight per class, n / (2 n_c), and the weight of a positive, n_0 / n_1."""
-    counts = class_counts(df, label)
-    total = sum(counts.values())
-    rows = [
-        (c, n, total / (2 * n), counts[0] / n if c == 1 else 1.0) for c, n in counts.items() if n
-    ]
-    return _facts(df.sparkSession, rows, "label int, n long, balanced_weight double, positive_weight double")
+    n0, n1 = F.col("n0"), F.col("n1")
+    counted = df.agg(F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1"))
+    return counted.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("label"), n.alias("n"), (F.try_divide(n0 + n1, 2 * n)).alias("balanced_weight"),
+        weight.alias("positive_weight"),
+    ) for c, n, weight in ((0, n0, F.lit(1.0)), (1, n1, F.try_divide(n0, n1)))]))).where("n > 0")
 
 
 def minmax(df, columns):
-    """Smallest and largest value per column."""
-    facts = number_facts(df, {c: col(c) for c in columns})
-    rows = [(c, fact.low, fact.high) for c, fact in facts.items()]
-    return _facts(df.sparkSession, rows, "column_name string, min_value double, max_value double")
+    """Smallest and largest value per column; NULL for a column without values."""
+    found = stacked(df, [col(c).cast("double") for c in columns]).groupBy("i").agg(
+        F.min("x").alias("min_value"), F.max("x").alias("max_value")
+    )
+    return _all_named(found, columns, min_value=None, max_value=None)
 
 
 def quantile_report(df, columns, shares):

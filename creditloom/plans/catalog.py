@@ -16,18 +16,6 @@ from creditloom.session import fresh_path, shared_folder, small_table
 from creditloom.sources import files, schemas
 from creditloom.sources.roles import Roles
 
-# Columns that give the label away in the role views, as both come from the same base column.
-LEAKING = [
-    "AMT_INCOME_TOTAL", "income_credit_ratio", "annuity_income_ratio", "income_per_person",
-    "bur_debt_income_ratio", "cc_util_income_ratio",
-]
-# Sizes of the registered trainings; the defaults in ``models`` are the full ones.
-TRIAL_SIZE = {
-    "logistic": {"maxIter": 100},
-    "forest": {"numTrees": 20, "maxDepth": 6},
-    "boosted_a": {"maxIter": 5},
-    "boosted_b": {"maxIter": 5, "maxDepth": 5},
-}
 SPARSE_TRIAL_PCT = 30
 SAMPLE_TRIAL_ROWS = 1000
 COMPLETENESS_TRIAL = {
@@ -121,7 +109,7 @@ class Data:
         }
 
     def model_features(self):
-        return [c for c in self.fitted().features() if c not in LEAKING]
+        return self.fitted().features()
 
     def split(self):
         labelled, _ = sampling.slice_sets(self.prepared())
@@ -129,7 +117,7 @@ class Data:
 
     def model(self, name):
         return self._once(f"model {name}", lambda: models.fit_model(
-            name, self.split()[0], self.model_features(), **TRIAL_SIZE[name]
+            name, self.split()[0], self.model_features()
         ))
 
 
@@ -156,7 +144,7 @@ def scan_csv(d):
 
 @query
 def scan_parquet(d):
-    return files.read_table(d.spark, f"{d.folder}/customer.parquet", ["c_custkey", "c_acctbal"])
+    return files.read_table(d.spark, f"{d.folder}/customer.parquet")
 
 
 @query
@@ -735,8 +723,7 @@ def score_batch(d):
 
 @query
 def cross_validate(d):
-    labelled, _ = sampling.slice_sets(d.prepared())
-    return models.cross_validate("logistic", labelled, d.model_features(), maxIter=20)
+    return models.cross_validate("logistic", d.split()[0], d.model_features())
 
 
 @query
@@ -748,8 +735,7 @@ def feature_importance(d):
 
 @query
 def dq_accepted_values(d):
-    # checked on a column that does take other values
-    return quality.accepted_values(d.slim(), "bur_num_credits")
+    return quality.accepted_values(d.slim())
 
 
 @query
@@ -759,7 +745,7 @@ def dq_not_null(d):
 
 @query
 def dq_age_range(d):
-    return quality.age_range(d.slim(), high=80)
+    return quality.age_range(d.slim())
 
 
 @query
@@ -774,14 +760,12 @@ def dq_rate_band(d):
 
 @query
 def dq_quirks(d):
-    return quality.quirks(d.slim(), limit=10)
+    return quality.quirks(d.slim())
 
 
 @query
 def dq_completeness(d):
-    tables = d.tables()
-    del tables["credit_card_balance"]
-    return quality.completeness(tables, COMPLETENESS_TRIAL)
+    return quality.completeness(d.tables(), COMPLETENESS_TRIAL)
 
 
 @query

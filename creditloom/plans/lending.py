@@ -1,6 +1,7 @@
 """The end-to-end work: extract, transform, train. Stages meet only in stage tables."""
 
 import os
+import warnings
 
 from pyspark.sql import functions as F
 
@@ -8,7 +9,7 @@ from creditloom import settings as S
 from creditloom.operators import (
     decision, features, joins, marts, models, prepare, profile, quality, ranking, sampling, summaries,
 )
-from creditloom.session import path_exists, size_shuffles
+from creditloom.session import path_exists, size_shuffles, small_table
 from creditloom.sources import files, schemas
 
 SUMMARIES = {
@@ -39,16 +40,22 @@ def all_summaries(tables):
     return [build(tables) for build in SUMMARIES.values()]
 
 
-def customer_features(applications, parts, heavy=None):
+def customer_features(applications, parts):
     """Applications with all summaries and engineered columns, as one lazy plan."""
-    view = joins.customer_view(applications, parts, heavy)
+    view = joins.customer_view(applications, parts)
     return features.engineer(view, applications.columns)
 
 
 def extract(tables, folder, expected=None):
-    """Check the inputs and write the consolidated application table."""
+    """Check the inputs and write the consolidated application table.
+
+    Inputs with under 90 % of the expected rows are reported as warnings; absent
+    ones or those with under half stop the work.
+    """
     if expected != {}:
-        quality.check_completeness(tables, expected)
+        for row in quality.check_completeness(tables, expected):
+            if row.status == "warn":
+                warnings.warn(f"{row.table_name}: {row.actual_rows} of {row.expected_rows} rows", stacklevel=2)
     union = joins.union_sets(tables["application_train"], tables["application_test"])
     return files.write_table(union, os.path.join(folder, "applications"))
 
@@ -62,8 +69,9 @@ def transform(spark, tables, folder, fresh=False, fit_on="all"):
     """
     applications = files.read_table(spark, os.path.join(folder, "applications"))
     size_shuffles(spark, [applications, *tables.values()])
+    version = files.fingerprint(tables.values())
     parts = [
-        files.load_or_compute(spark, folder, f"summary_{name}", lambda b=build: b(tables), fresh)
+        files.load_or_compute(spark, folder, f"summary_{name}", lambda b=build: b(tables), fresh, version)
         for name, build in SUMMARIES.items()
     ]
     engineered = files.write_table(customer_features(applications, parts), os.path.join(folder, "engineered"))
@@ -75,6 +83,7 @@ def transform(spark, tables, folder, fresh=False, fit_on="all"):
 
     basis = engineered if fit_on == "all" else engineered.where(F.col(S.SET) == "train")
     fitted = prepare.fit(basis)
+    save_preparation(spark, fitted, folder)
     prepared = prepare.apply(engineered, fitted)
     plan = [p for p in prepare.compact_types(prepared) if p[0] != S.CUSTOMER]
     prepared = files.write_table(prepare.compact(prepared, plan), os.path.join(folder, "prepared"))
@@ -85,6 +94,30 @@ def transform(spark, tables, folder, fresh=False, fit_on="all"):
     return prepared, fitted
 
 
+def save_preparation(spark, fitted, folder):
+    """Store the fitted facts beside the stage tables, for scoring later."""
+    rows = small_table(spark, [(fitted.to_json(),)], "value string")
+    rows.coalesce(1).write.mode("overwrite").text(os.path.join(folder, "preparation"))
+
+
+def load_preparation(spark, folder):
+    return prepare.Preparation.from_json(spark.read.text(os.path.join(folder, "preparation"), wholetext=True).first()[0])
+
+
+def score(spark, tables, folder, model_path):
+    """Scores of new applications, prepared by the facts stored in ``folder``.
+
+    ``tables`` has the same inputs as the training, with the new applications as
+    ``application_test``.
+    """
+    applications = tables["application_test"].withColumns(
+        {S.SET: F.lit("test"), S.LABEL: F.lit(None).cast("double")}
+    )
+    engineered = customer_features(applications, all_summaries(tables))
+    prepared = prepare.apply(engineered, load_preparation(spark, folder), keep=(S.CUSTOMER,))
+    return models.score_rows(models.load_model(model_path), prepared)
+
+
 def explore(train):
     """The tables behind the exploration charts."""
     cut = profile.exploration_segments(train)
@@ -113,11 +146,13 @@ def train_models(prepared, names, folder, learners=tuple(models.LEARNERS), overr
         )
     board = files.write_table(models.evaluate(scored), os.path.join(folder, "model_results"))
     best = models.leaderboard(board).first()["model"]
+    folds = models.cross_validate(best, train, names, **(overrides or {}).get(best, {}))
     sweep = decision.fbeta_sweep(scored[best])
     threshold = decision.best_threshold(sweep).first()["threshold"]
     return {
         "metrics": board,
         "best": best,
+        "cross_validation": folds,
         "model": fitted[best],
         "threshold": threshold,
         "sweep": sweep,

@@ -1,5 +1,6 @@
 """The same queries in plain SQL, written from the definitions, for checking results in DuckDB."""
 
+from creditloom import settings as S
 from creditloom.sources.roles import VIEWS, view_sql
 
 _DAYS = "date_diff('day', DATE '2001-12-31', CAST({0} AS DATE))"
@@ -181,37 +182,44 @@ BLOCKS["features"] = f"""
 # Numeric feature columns by origin.
 _APP = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "CNT_FAM_MEMBERS",
         "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_EMPLOYED_FLAG"]
-_BUREAU = ["bur_" + c for c in (
-    "num_credits num_active num_closed total_credit avg_credit total_debt max_overdue avg_overdue total_overdue "
-    "days_credit_mean days_credit_min days_enddate_mean days_enddate_max prolong_sum num_bad_months "
-    "avg_bad_months debt_credit_ratio overdue_credit_ratio active_ratio").split()]
-_PREVIOUS = ["prev_" + c for c in (
-    "num_applications num_approved num_refused num_cancelled amt_credit_sum amt_credit_mean amt_annuity_mean "
-    "amt_down_mean days_decision_mean days_decision_min hour_appr_mean rate_down_mean days_first_due_mean "
-    "days_last_due_mean days_termination_mean cnt_payment_mean approval_rate refusal_rate").split()]
-_POS = ["pos_" + c for c in (
-    "num_records months_balance_mean months_balance_max cnt_instalment_mean cnt_instalment_future sk_dpd_mean "
-    "sk_dpd_max sk_dpd_def_mean sk_dpd_def_max num_completed num_active dpd_flag completion_rate").split()]
-_CARD = ["cc_" + c for c in (
-    "num_records months_balance_mean balance_mean balance_max credit_limit_mean drawings_mean drawings_total "
-    "payment_current_mean payment_total_mean dpd_mean dpd_max dpd_def_mean cnt_drawings_mean utilisation "
-    "dpd_flag over_limit").split()]
-_INSTALMENTS = ["inst_" + c for c in (
-    "num_records days_late_mean days_late_max days_late_sum payment_ratio_mean payment_ratio_min "
-    "payment_diff_mean payment_diff_max num_late num_early amt_payment_sum amt_instalment_sum late_rate").split()]
-_RATIOS = ["income_credit_ratio", "annuity_income_ratio", "credit_goods_ratio", "employment_age_ratio",
-           "age_years", "employed_years", "income_per_person", "bur_debt_income_ratio",
-           "inst_late_per_credit", "cc_util_income_ratio"]
+# Feature names in their published order.
+_BUREAU = [
+    "bur_num_credits", "bur_num_active", "bur_num_closed", "bur_total_credit", "bur_avg_credit",
+    "bur_total_debt", "bur_max_overdue", "bur_avg_overdue", "bur_total_overdue", "bur_days_credit_mean",
+    "bur_days_credit_min", "bur_days_enddate_mean", "bur_days_enddate_max", "bur_prolong_sum",
+    "bur_num_bad_months", "bur_avg_bad_months", "bur_debt_credit_ratio", "bur_overdue_credit_ratio",
+    "bur_active_ratio",
+]
+_PREVIOUS = [
+    "prev_num_applications", "prev_num_approved", "prev_num_refused", "prev_num_cancelled",
+    "prev_amt_credit_sum", "prev_amt_credit_mean", "prev_amt_annuity_mean", "prev_amt_down_mean",
+    "prev_days_decision_mean", "prev_days_decision_min", "prev_hour_appr_mean", "prev_rate_down_mean",
+    "prev_days_first_due_mean", "prev_days_last_due_mean", "prev_days_termination_mean",
+    "prev_cnt_payment_mean", "prev_approval_rate", "prev_refusal_rate",
+]
+_POS = [
+    "pos_num_records", "pos_months_balance_mean", "pos_months_balance_max", "pos_cnt_instalment_mean",
+    "pos_cnt_instalment_future", "pos_sk_dpd_mean", "pos_sk_dpd_max", "pos_sk_dpd_def_mean",
+    "pos_sk_dpd_def_max", "pos_num_completed", "pos_num_active", "pos_dpd_flag", "pos_completion_rate",
+]
+_CARD = [
+    "cc_num_records", "cc_months_balance_mean", "cc_balance_mean", "cc_balance_max", "cc_credit_limit_mean",
+    "cc_drawings_mean", "cc_drawings_total", "cc_payment_current_mean", "cc_payment_total_mean", "cc_dpd_mean",
+    "cc_dpd_max", "cc_dpd_def_mean", "cc_cnt_drawings_mean", "cc_utilisation", "cc_dpd_flag", "cc_over_limit",
+]
+_INSTALMENTS = [
+    "inst_num_records", "inst_days_late_mean", "inst_days_late_max", "inst_days_late_sum",
+    "inst_payment_ratio_mean", "inst_payment_ratio_min", "inst_payment_diff_mean", "inst_payment_diff_max",
+    "inst_num_late", "inst_num_early", "inst_amt_payment_sum", "inst_amt_instalment_sum", "inst_late_rate",
+]
+_RATIOS = [
+    "income_credit_ratio", "annuity_income_ratio", "credit_goods_ratio", "employment_age_ratio", "age_years",
+    "employed_years", "income_per_person", "bur_debt_income_ratio", "inst_late_per_credit",
+    "cc_util_income_ratio",
+]
 NUMERIC = _APP + _BUREAU + _PREVIOUS + _POS + _CARD + _INSTALMENTS + _RATIOS
 _SPARSE = set(_POS + _CARD + ["cc_util_income_ratio"])
-_CAPPED = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE"]
-_BEHAVIOURAL = ["inst_late_rate", "cc_utilisation", "prev_approval_rate", "bur_max_overdue",
-                "pos_sk_dpd_mean", "inst_days_late_mean"]
-_SLIM = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_GOODS_PRICE", "DAYS_BIRTH", "DAYS_EMPLOYED",
-         "income_credit_ratio", "employment_age_ratio", "annuity_income_ratio", "bur_total_debt",
-         "bur_num_credits", "bur_max_overdue", "prev_num_applications", "prev_approval_rate",
-         "inst_late_rate", "inst_days_late_mean", "cc_utilisation", "cc_dpd_max", "pos_sk_dpd_max",
-         "pos_completion_rate", "TARGET"]
+_CAPPED, _BEHAVIOURAL, _SLIM = S.CAPPED, S.BEHAVIOURAL, S.SLIM_COLUMNS
 
 
 def _quantile(column, share, source):
@@ -349,7 +357,7 @@ def _completeness():
     expected = {
         "application_train": (1200, "train_set"), "bureau": (16000, "bureau"),
         "bureau_balance": (70000, "bureau_balance"), "previous_application": (40000, "previous_application"),
-        "POS_CASH_balance": (10000, "pos_cash"), "credit_card_balance": (10000, None),
+        "POS_CASH_balance": (10000, "pos_cash"), "credit_card_balance": (10000, "credit_card"),
         "installments_payments": (60000, "installments_payments"),
     }
     rows = " UNION ALL ".join(
@@ -419,7 +427,7 @@ _EXPORTED = ["SK_ID_CURR", "TARGET", *PREPARED_COLUMNS]
 
 QUERIES = {
     "scan_csv": "SELECT * FROM application",
-    "scan_parquet": "SELECT c_custkey, c_acctbal FROM customer",
+    "scan_parquet": "SELECT * FROM customer",
     "sink_parquet": "SELECT * FROM bureau",
     "sink_bucketed": """SELECT SK_ID_CURR, prev_num_applications, inst_num_records, inst_late_rate
         FROM agg_previous LEFT JOIN agg_installments USING (SK_ID_CURR)""",
@@ -504,9 +512,12 @@ QUERIES = {
         for c in _CAPPED + _BEHAVIOURAL for p in (0.01, 0.99)
     ),
     "top_correlations": _correlations(),
-    "class_histogram": """SELECT feature, label, CAST(bin AS INT) AS bin, n,
-        CAST(n AS DOUBLE) / (CAST(sum(n) OVER (PARTITION BY feature, label) AS DOUBLE) * width) AS density
-        FROM (SELECT feature, label, width, bin, count(*) AS n FROM binned GROUP BY ALL)""",
+    "class_histogram": """SELECT f.feature, f.label, CAST(b.bin AS INT) AS bin, coalesce(c.n, 0) AS n,
+        CAST(coalesce(c.n, 0) AS DOUBLE) / (CAST(f.size AS DOUBLE) * f.width) AS density
+        FROM (SELECT feature, label, width, count(*) AS size FROM binned GROUP BY ALL) f
+        CROSS JOIN (SELECT unnest(range(40)) AS bin) b
+        LEFT JOIN (SELECT feature, label, bin, count(*) AS n FROM binned GROUP BY ALL) c
+          ON c.feature = f.feature AND c.label = f.label AND c.bin = b.bin""",
     "class_weights": """SELECT label, n, CAST(total AS DOUBLE) / (2 * n) AS balanced_weight,
         CASE WHEN label = 1 THEN CAST(total - n AS DOUBLE) / n ELSE 1 END AS positive_weight
         FROM (SELECT CAST(TARGET AS INT) AS label, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total
@@ -551,13 +562,12 @@ QUERIES = {
         FROM train_set GROUP BY TARGET""",
     "sample_n_size": """SELECT least(count(*), 1000) AS n, least(count(DISTINCT SK_ID_CURR), 1000) AS distinct_keys
         FROM application""",
-    "dq_accepted_values": """SELECT bur_num_credits, count(*) AS n FROM slim WHERE bur_num_credits NOT IN (0, 1)
-        GROUP BY bur_num_credits""",
+    "dq_accepted_values": "SELECT target, count(*) AS n FROM slim WHERE target NOT IN (0, 1) GROUP BY target",
     "dq_not_null": _nulls(["amt_income_total", "amt_credit", "days_birth", "days_employed"]),
-    "dq_age_range": _ages(80),
+    "dq_age_range": _ages(100),
     "dq_row_count": _ROW_COUNT,
     "dq_rate_band": _BAND,
-    "dq_quirks": f"SELECT * FROM ({_QUIRKS}) WHERE neg_debt > 10 OR over_limit > 10",
+    "dq_quirks": f"SELECT * FROM ({_QUIRKS}) WHERE neg_debt > 5000 OR over_limit > 5000",
     "dq_completeness": _completeness(),
     "dq_no_nulls": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls FROM prepared HAVING count(*) > count({c})"

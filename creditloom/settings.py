@@ -37,6 +37,7 @@ LOAN = "SK_ID_PREV"
 LABEL = "TARGET"
 SET = "SET"
 
+# Segment columns, columns that are no features, columns that are capped, features of the histograms.
 SEGMENTS = ["income_group", "loan_size", "age_group", "risk_level", "employment_group"]
 NOT_FEATURES = [CUSTOMER, CREDIT, LOAN, SET, *SEGMENTS]
 CAPPED = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE"]

@@ -1,42 +1,78 @@
 """File scans and sinks, stage tables, typed load and view resolution."""
 
+import hashlib
 import os
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.functions.scalar import col, nan_to_null
+from creditloom.operators.columns import stacked
 from creditloom.session import path_exists
 from creditloom.settings import CUSTOMER, SLIM_COLUMNS
 from creditloom.sources import schemas
 
 # Cell texts a CSV scan reads as missing.
-NULL_TOKENS = ["", "NA", "N/A", "n/a", "#N/A", "<NA>", "NaN", "nan", "-NaN", "-nan", "NULL", "null", "None"]
+NULL_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+# A quote inside a quoted cell is doubled, as spreadsheets and data frames write it.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
+
+
+def _present(name):
+    """The cell's text, NULL for the texts that mean missing."""
+    return F.when(~col(name).isin(NULL_TOKENS), col(name))
+
+
+def whole_number(text, kind, name):
+    """Text as a whole number; it may be written with a decimal point, but a fraction is an error, not cut off."""
+    number = text.cast("double")
+    refused = F.raise_error(F.concat(F.lit(f"fraction in the whole-number column {name}: "), text))
+    return F.coalesce(
+        text.try_cast("bigint"),
+        F.when(number.isNotNull(), F.when(number == F.floor(number), number.cast("bigint")).otherwise(refused.cast("bigint"))),
+    ).cast(kind)
+
+
+def infer_kinds(raw, names):
+    """Type per text column from its present cells, in one aggregate: boolean, int, bigint, double or string.
+
+    A column without cells is a double, like one of missing numbers.
+    """
+    found = stacked(raw, [_present(c) for c in names]).where("x IS NOT NULL").groupBy("i").agg(
+        F.every(F.col("x").isin("True", "False", "TRUE", "FALSE", "true", "false")).alias("boolean"),
+        F.every(F.col("x").try_cast("int").isNotNull() & ~F.col("x").contains(".")).alias("int"),
+        F.every(F.col("x").try_cast("bigint").isNotNull() & ~F.col("x").contains(".")).alias("bigint"),
+        F.every(F.col("x").try_cast("double").isNotNull() & ~F.lower("x").rlike("[df]$")).alias("double"),
+    )
+    facts = {row.i: row for row in found.collect()}
+    types = {"boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType()}
+
+    def kind(i):
+        if i not in facts:
+            return T.DoubleType()
+        return next((t for name, t in types.items() if facts[i][name]), T.StringType())
+
+    return {name: kind(i) for i, name in enumerate(names)}
 
 
 def read_csv(spark, path, schema=None, columns=None):
     """Header CSV to a DataFrame with NULL as the only missing value.
 
-    With a schema, every cell arrives as text, null tokens become NULL and the
-    rest is cast; columns the schema does not name stay text. Without one, the
-    types are inferred, as for the many further application columns. Column
-    selection reaches the scan.
+    Every cell arrives as text and null tokens become NULL; then the rest is cast
+    to the schema's types. Columns the schema does not name stay text. Without a
+    schema the types are inferred from the cells that are left. Column selection reaches the scan.
     """
-    if schema is None:
-        found = spark.read.csv(path, header=True, inferSchema=True, nullValue="NA", nanValue="NaN")
-        kinds = {f.name: f.dataType for f in found.schema}
-    else:
-        kinds = {f.name: f.dataType for f in schema}
-    raw = spark.read.csv(path, header=True)
+    raw = spark.read.csv(path, header=True, **CSV_QUOTES)
     wanted = columns or raw.columns
+    kinds = infer_kinds(raw, wanted) if schema is None else {f.name: f.dataType for f in schema}
 
     def cell(name):
-        text = F.when(~col(name).isin(NULL_TOKENS), col(name))
-        kind = kinds.get(name, T.StringType())
+        text, kind = _present(name), kinds.get(name, T.StringType())
         if isinstance(kind, (T.IntegerType, T.LongType)):
-            # whole numbers may be written with a decimal point
-            whole = F.coalesce(text.try_cast("bigint"), text.cast("double").cast("bigint"))
-            return whole.cast(kind).alias(name)
+            return whole_number(text, kind, name).alias(name)
         if isinstance(kind, (T.FloatType, T.DoubleType)):
             return nan_to_null(text.cast("double")).alias(name)
         return text.cast(kind).alias(name)
@@ -45,8 +81,13 @@ def read_csv(spark, path, schema=None, columns=None):
 
 
 def read_table(spark, path, columns=None):
+    """A Parquet table with NULL as the only missing value."""
     df = spark.read.parquet(path)
-    return df.select(*[col(c) for c in columns]) if columns else df
+    kinds = {f.name: f.dataType for f in df.schema}
+    return df.select([
+        nan_to_null(col(c)).alias(c) if isinstance(kinds[c], (T.FloatType, T.DoubleType)) else col(c)
+        for c in columns or df.columns
+    ])
 
 
 def write_table(df, path):
@@ -75,6 +116,19 @@ def load_or_compute(spark, folder, name, compute, fresh=False, version=""):
     return write_table(compute(), path)
 
 
+def fingerprint(tables):
+    """A short name of what the tables read: their plans, and the files below them with sizes and times."""
+    digest = hashlib.sha256()
+    for df in tables:
+        digest.update(df._jdf.queryExecution().optimizedPlan().canonicalized().treeString().encode())
+        hadoop = df.sparkSession._jsc.hadoopConfiguration()
+        for name in sorted(df.inputFiles()):
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name)
+            status = path.getFileSystem(hadoop).getFileStatus(path)
+            digest.update(f"{name} {status.getLen()} {status.getModificationTime()}".encode())
+    return digest.hexdigest()[:12]
+
+
 def require_columns(df, names):
     absent = [name for name in names if name not in df.columns]
     if absent:
@@ -88,7 +142,7 @@ def slim(df):
 
 
 def write_csv(df, path):
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").csv(path, header=True, **CSV_QUOTES)
 
 
 def export_slim(df, path):
@@ -101,9 +155,12 @@ def export_full(df, path, drop=("SET", CUSTOMER)):
 
 def load_typed(spark, csv_path, table, path):
     """Load the slim CSV with its declared types into a catalog table, replacing an older one."""
-    raw = spark.read.csv(csv_path, header=True)
+    raw = spark.read.csv(csv_path, header=True, **CSV_QUOTES)
     raw = raw.toDF(*[name.lower() for name in raw.columns])
-    typed = raw.select([col(f.name).cast("double").cast(f.dataType).alias(f.name) for f in schemas.SLIM])
+    typed = raw.select([
+        (whole_number(col(f.name), f.dataType, f.name) if isinstance(f.dataType, T.IntegralType)
+         else col(f.name).cast(f.dataType)).alias(f.name) for f in schemas.SLIM
+    ])
     typed.write.mode("overwrite").option("path", path).format("parquet").saveAsTable(table)
     return spark.table(table)
 

@@ -14,7 +14,7 @@ VIEWS = {
     "application": """
         SELECT c_custkey AS SK_ID_CURR,
           CAST(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS INT) AS TARGET,
-          CAST(floor((c_acctbal + 1000) * 40) AS DOUBLE) AS AMT_INCOME_TOTAL,
+          CAST(25000 + (c_custkey * 3571) % 400000 AS DOUBLE) AS AMT_INCOME_TOTAL,
           CASE WHEN c_custkey % 50 = 7 THEN CAST(0 AS DOUBLE)
                ELSE CAST(50000 + (c_custkey * 7919) % 900000 AS DOUBLE) END AS AMT_CREDIT,
           CASE WHEN c_custkey % 40 = 3 THEN NULL

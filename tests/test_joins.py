@@ -16,17 +16,11 @@ def skewed(spark):
     return spine, table
 
 
-def test_heavy_keys_are_found(skewed):
-    found = joins.heavy_keys(skewed[0], "k", min_rows=100)
-    assert set(found) == {7, None}
-    assert joins.heavy_keys(skewed[0], "k") == []
-
-
-@pytest.mark.parametrize("heavy", [[], [7], [7, None], [None], [7, 1, 123456]])
-def test_heavy_split_gives_the_plain_result(skewed, heavy):
+def test_left_join_keeps_every_row_once(spark, skewed):
     spine, table = skewed
     second = table.select("k", (F.col("v") + 1).alias("w")).where("k % 2 = 1")
-    found = joins.left_join_unique(spine, [table, second], "k", heavy=heavy)
+    found = joins.left_join_unique(spine, [table, second], "k")
+    assert found.columns == ["k", "row", "v", "w"]
     expected = {}
     for i in range(3000):
         k = 7 if i % 3 == 0 else i if i % 3 == 1 else None

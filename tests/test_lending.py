@@ -72,13 +72,14 @@ def test_exploration_tables(work):
 
 def test_training(spark, work):
     folder, _, prepared, fitted = work
-    names = [c for c in fitted.features() if c not in catalog.LEAKING]
+    names = fitted.features()
     found = lending.train_models(
         prepared, names, str(folder), learners=("logistic", "forest"),
         overrides={"logistic": {"maxIter": 20}, "forest": {"numTrees": 5, "maxDepth": 3}},
     )
     assert {r.model for r in found["metrics"].collect()} == {"logistic", "forest"}
     assert found["best"] in ("logistic", "forest") and 0.05 <= found["threshold"] <= 0.9
+    assert found["cross_validation"].first().folds == 5
     assert found["sweep"].count() == 18 and os.path.exists(found["path"])
     assert found["cumulative_gain"].agg(F.max("gain_pct")).first()[0] == 100.0
 
@@ -87,7 +88,7 @@ def test_bounded_scores_and_round_trip(spark, work):
     from creditloom.operators import models, sampling
     folder, _, prepared, fitted = work
     labelled, unlabelled = sampling.slice_sets(prepared)
-    names = [c for c in fitted.features() if c not in catalog.LEAKING]
+    names = fitted.features()
     model = models.fit_model("boosted_a", labelled, names, maxIter=2)
     scores = {r.SK_ID_CURR: r.score for r in models.score_rows(model, unlabelled).collect()}
     assert len(scores) == unlabelled.count() > 0 and all(0 <= s <= 1 for s in scores.values())
@@ -104,9 +105,28 @@ def test_one_class_cannot_train(spark, work):
         models.fit_model("logistic", prepared.where("TARGET = 0"), ["AMT_CREDIT"])
 
 
-def test_restart_uses_finished_summaries(spark, work):
-    folder, _, prepared, _ = work
-    # last in this file, as it writes the prepared table anew;
-    # inputs that cannot be read: everything must come from the stage tables
-    again, _ = lending.transform(spark, {}, str(folder))
+def test_scoring_of_new_applications(spark, work):
+    from creditloom.operators import models, sampling
+    folder, tables, prepared, fitted = work
+    labelled, _ = sampling.slice_sets(prepared)
+    model = models.fit_model("logistic", labelled, fitted.features(), maxIter=5)
+    path = models.save_model(model, "logistic", str(folder / "scoring"))
+    # an unseen category, and a number missing that never was
+    new = tables["application_test"].withColumns({"NAME_SEGMENT": F.lit("UNSEEN"), "DAYS_BIRTH": F.lit(None).cast("int")})
+    scores = lending.score(spark, {**tables, "application_test": new}, str(folder), path).collect()
+    assert len(scores) == new.count() > 0 and all(0 <= r.score <= 1 for r in scores)
+
+
+def test_restart_uses_finished_summaries_of_the_same_inputs(spark, work, monkeypatch):
+    folder, tables, prepared, _ = work
+    # last in this file, as it writes the prepared table anew
+    def refused(t):
+        raise AssertionError("computed again")
+
+    finished = {name: refused for name in lending.SUMMARIES}
+    monkeypatch.setattr(lending, "SUMMARIES", finished)
+    again, _ = lending.transform(spark, tables, str(folder))
     assert again.count() == 150
+    changed = {**tables, "POS_CASH_balance": tables["POS_CASH_balance"].limit(10)}
+    with pytest.raises(AssertionError, match="computed again"):
+        lending.transform(spark, changed, str(folder))

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from creditloom.operators import models
 
@@ -41,7 +42,7 @@ def test_default_hyperparameters():
         "boosted_a": {"maxIter": 400, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8},
         "boosted_b": {"maxIter": 600, "maxDepth": 7, "stepSize": 0.03},
     }.items():
-        last = models.learner(name, ["a"], "TARGET", 10.0, 10).getStages()[-1]
+        last = models.learner(name, {"a": 0.0}, "TARGET", 10.0, 10).getStages()[-1]
         assert {k: last.getOrDefault(k) for k in expected} == expected
 
 
@@ -64,3 +65,25 @@ def test_cross_validation(spark):
 def test_leaderboard_breaks_ties_by_name(spark):
     board = spark.createDataFrame([("b", 0.7), ("a", 0.7), ("c", 0.9)], "model string, auc_roc double")
     assert [r.model for r in models.leaderboard(board).collect()] == ["c", "a", "b"]
+
+
+def test_missing_features_are_filled_by_the_stored_model(spark, tmp_path):
+    rows = [(i, i % 2, float(i) if i % 3 else None, None) for i in range(30)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, `a.b` double, empty double")
+    model = models.fit_model("logistic", df, ["a.b", "empty"])
+    again = models.load_model(models.save_model(model, "m", str(tmp_path)))
+    scores = {r.SK_ID_CURR: r.score for r in models.score_rows(again, df).collect()}
+    known = sorted(r[2] for r in rows if r[2] is not None)
+    median = (known[9] + known[10]) / 2
+    filled = models.score_rows(model, df.fillna({"empty": 0.0}).withColumn(
+        "a.b", F.coalesce(F.col("`a.b`"), F.lit(median))))
+    assert len(scores) == 30 and {r.SK_ID_CURR: r.score for r in filled.collect()} == scores
+    assert models.fit_model("logistic", df, ["a.b"], most_rows=10).stages[-1].numFeatures == 1
+
+
+def test_registered_models_use_the_default_parameters():
+    import inspect
+
+    from creditloom.plans import catalog
+    source = inspect.getsource(catalog.Data.model) + inspect.getsource(catalog)
+    assert not hasattr(catalog, "TRIAL_SIZE") and "maxIter" not in source and "numTrees" not in source

@@ -1,12 +1,20 @@
 """Every registered query with a SQL form gives exactly the SQL's result."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as contract
 from compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = contract.oracle_sql()
+
+def own(names):
+    """Without the training-data queries, which have tests of their own and may be absent."""
+    return {n for n in names if n != "pipeline" and not re.match(r"op\d+_", n)}
+
+
+SQL = {n: text for n, text in contract.oracle_sql().items() if n in own(contract.oracle_sql())}
 # Trainings, samples by hash and stored models have no SQL form.
 ROWS_ONLY = {"model_roundtrip", "stratified_split", "sample_n", "train_logistic", "train_forest", "train_boosted_a",
              "train_boosted_b", "score_batch", "cross_validate", "feature_importance"}
@@ -18,7 +26,7 @@ def db():
 
 
 def test_only_the_known_ones_lack_sql():
-    assert set(contract.queries()) - set(SQL) == ROWS_ONLY
+    assert own(contract.queries()) - set(SQL) == ROWS_ONLY
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -31,7 +31,8 @@ def test_customer_view_shuffles_each_input_once(spark):
 
 def test_unused_summaries_are_not_computed(spark):
     text = plan(spark, "cohort_default_rates")
-    assert text.count("Exchange") == 1 and text.count("FileScan") == 1
+    # applications with a key and those without are read apart
+    assert text.count("Exchange") == 1 and text.count("FileScan") == 2
     assert re.search(r"FileScan parquet \[c_custkey#\d+L,c_nationkey#\d+,c_acctbal#\d+\]", text)
     assert "LessThan(c_nationkey,21)" in text
 
@@ -60,3 +61,17 @@ def test_rows_never_meet_in_one_partition(spark, name):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             assert "HashAggregate" in lines[i + 1], lines[i + 1]
+
+
+@pytest.mark.parametrize("name", ["customer_360", "features_full", "dq_report", "cohort_default_rates", "missing_profile",
+                                  "nunique", "minmax", "class_weights"])
+def test_building_a_query_starts_no_job(spark, name):
+    catalog.data(spark, FOLDER).engineered()
+    catalog.data(spark, FOLDER).prepared()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", name)
+    try:
+        catalog.QUERIES[name](spark, FOLDER)
+        assert tracker.getJobIdsForGroup("building") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -60,7 +60,8 @@ def test_impute_cap_and_guards(spark):
         F.col("id").cast("int").alias("n"),
     )
     fitted = prepare.fit(df)
-    assert fitted.sparse == ["mostly_missing"] and fitted.medians == {"AMT_ANNUITY": 25.0}
+    assert fitted.sparse == ["mostly_missing"] and fitted.filled == ["AMT_ANNUITY"]
+    assert fitted.medians == {"AMT_CREDIT": 50.0, "AMT_ANNUITY": 25.0, "n": 50.0}
     assert fitted.caps == {"AMT_CREDIT": [1.0, 99.0], "AMT_ANNUITY": [1.0, 49.0]}
     out = prepare.apply(df, fitted)
     assert fitted.features() == ["AMT_CREDIT", "AMT_ANNUITY", "n"]
@@ -99,17 +100,35 @@ def test_histogram_density_sums_to_one(spark):
         F.lit(5.0).alias("cc_utilisation"), F.lit(None).cast("double").alias("bur_max_overdue"),
     )
     found = profile.class_histogram(df).collect()
-    assert {r.feature for r in found} == {"inst_late_rate"}
-    width = max(r.n / (r.density * 1) for r in found if r.label == 1)
-    for label in (0, 1):
-        mine = [r for r in found if r.label == label]
-        size = sum(r.n for r in mine)
-        width = mine[0].n / (mine[0].density * size)
-        assert sum(r.density * width for r in mine) == pytest.approx(1.0)
-        assert all(0 <= r.bin <= 39 for r in mine)
+    assert {r.feature for r in found} == {"inst_late_rate", "cc_utilisation"} and len(found) == 2 * 2 * 40
+    for name in ("inst_late_rate", "cc_utilisation"):
+        for label in (0, 1):
+            mine = [r for r in found if r.label == label and r.feature == name]
+            assert sorted(r.bin for r in mine) == list(range(40))
+            size, largest = sum(r.n for r in mine), max(mine, key=lambda r: r.n)
+            width = largest.n / (largest.density * size)
+            assert sum(r.density * width for r in mine) == pytest.approx(1.0)
+    # without spread: a range of one around the value
+    assert {r.bin for r in found if r.feature == "cc_utilisation" and r.n} == {20}
 
 
 def test_class_weights(rows):
     df = rows("TARGET int", *[(0,)] * 6, *[(1,)] * 2)
     found = {r.label: (r.n, r.balanced_weight, r.positive_weight) for r in profile.class_weights(df).collect()}
     assert found == {0: (6, 8 / 12, 1.0), 1: (2, 2.0, 3.0)}
+
+
+def test_rows_unlike_those_fitted_on(rows):
+    """Unseen and first missing categories, numbers missing for the first time, booleans and dates."""
+    schema = "SK_ID_CURR long, n int, x double, two string, many string, yes boolean, day date"
+    day = __import__("datetime").date(2020, 1, 2)
+    seen = rows(schema, *[(i, i, float(i), "ab"[i % 2], "pqr"[i % 3], i % 2 == 0, day) for i in range(9)])
+    fitted = prepare.fit(seen)
+    assert prepare.Preparation.from_json(fitted.to_json()) == fitted
+    new = rows(schema, (1, None, None, "c", "z", None, None), (2, 3, 1.0, None, None, True, day))
+    out = {r.SK_ID_CURR: r for r in prepare.apply(new, fitted).collect()}
+    assert (out[1].n, out[1].x, out[1].two, out[1].many_q, out[1].many_r) == (4, 4.0, 2, 0, 0)
+    assert out[2].two == 2 and out[2].yes == 1 and out[2].day == 0
+    prepare.check_no_nulls(prepare.apply(new, fitted), fitted.features())
+    with pytest.raises(TypeError, match="odd"):
+        prepare.fit(seen.withColumn("odd", F.array("n")))

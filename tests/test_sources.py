@@ -1,6 +1,8 @@
 """Stage tables, typed load and bucketed tables."""
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditloom import session, settings
 from creditloom.sources import files
@@ -68,3 +70,25 @@ def test_shuffles_start_fine_enough(spark):
         assert session.size_shuffles(spark, [spark.range(10**12)], most=5000) == 5000
     finally:
         spark.conf.unset(key)
+
+
+def test_csv_cells(spark, tmp_path):
+    path = tmp_path / "cells.csv"
+    lines = ["n,i,text,flag,day,empty"]
+    lines += [f'{v},{i},"a ""b"", c",{"True" if i else "False"},2020-01-0{i + 1},' for i, v in enumerate(["1", "N/A", "2.5", "-1.#IND"])]
+    path.write_text("\n".join(lines) + "\n")
+    df = files.read_csv(spark, str(path))
+    assert dict(df.dtypes) == {"n": "double", "i": "int", "text": "string", "flag": "boolean", "day": "string", "empty": "double"}
+    found = df.orderBy("i").collect()
+    assert [r.n for r in found] == [1.0, None, 2.5, None]
+    assert found[0].text == 'a "b", c' and found[0].day == "2020-01-01" and found[1].flag is True
+    schema = T.StructType([T.StructField("n", T.IntegerType())])
+    with pytest.raises(Exception, match="fraction in the whole-number column n"):
+        files.read_csv(spark, str(path), schema, ["n"]).collect()
+    files.write_csv(df, str(tmp_path / "again"))
+    assert files.read_csv(spark, str(tmp_path / "again")).orderBy("i").collect() == found
+
+
+def test_parquet_inputs_have_null_for_nan(spark, tmp_path):
+    spark.createDataFrame([(1, float("nan")), (2, 1.0)], "k int, x double").write.parquet(str(tmp_path / "t"))
+    assert {r.k: r.x for r in files.read_table(spark, str(tmp_path / "t")).collect()} == {1: None, 2: 1.0}
