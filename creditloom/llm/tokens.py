@@ -5,11 +5,13 @@ token, and equal pieces share one encoding, within a slice of documents and
 across slices through a bounded store.
 """
 
+from array import array
+
 import numpy as np
 
 from creditloom.llm.words import Words, span_hashes
 
-STORED_PIECES = 200_000  # in each of two generations of the store
+STORED_PIECES = 400_000  # in each of two generations of the store; about 80 MB each
 LONGEST_STORED = 64  # bytes
 # The UTF-8 endings of white space characters beyond ASCII. A run of white space with one of them
 # is one piece for a tokenizer, though the cut at ASCII white space would split it.
@@ -37,8 +39,7 @@ class Encoder:
         return _encoders[path, with_space]
 
     def _encode(self, texts):
-        return [np.asarray(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, pieces):
         """The ids of each of some distinct byte pieces, as bytes."""
