@@ -16,8 +16,13 @@ from creditloom.session import small_table
 PREFIX_BITS = 16
 
 
+HASH_BITS = 60
+
+
 def key_hash(key, seed=S.SEED):
-    return F.xxhash64(F.lit(seed), col(key))
+    """The first 60 bits of the MD5 of ``seed:key``, which any engine can compute; a missing key counts as empty."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(col(key).cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
 def hash_cuts(df, key, ranks, group=None, seed=S.SEED, prefix_bits=PREFIX_BITS):
@@ -29,7 +34,7 @@ def hash_cuts(df, key, ranks, group=None, seed=S.SEED, prefix_bits=PREFIX_BITS):
     """
     member = F.lit(0) if group is None else F.col(group).cast("int")
     hashed = df.select(member.alias("g"), key_hash(key, seed).alias("h")).withColumn(
-        "prefix", F.shiftright("h", 64 - prefix_bits)
+        "prefix", F.shiftright("h", HASH_BITS - prefix_bits)
     )
     per_group = Window.partitionBy("g").orderBy("prefix")
     # at most 2 ** prefix_bits rows per group

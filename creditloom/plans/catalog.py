@@ -211,7 +211,10 @@ def staging_view(d):
 @query
 def model_roundtrip(d):
     path = models.save_model(d.model("logistic"), "logistic", os.path.join(d.stages, "models"))
-    return models.score_rows(models.load_model(path), d.split()[1], label=S.LABEL)
+    held_out = d.split()[1]
+    before = models.score_rows(d.model("logistic"), held_out)
+    after = models.score_rows(models.load_model(path), held_out).select(S.CUSTOMER, F.col("score").alias("again"))
+    return before.join(after, S.CUSTOMER).select(S.CUSTOMER, (F.col("score") == F.col("again")).alias("same"))
 
 
 # Projections and scalar expressions
@@ -718,7 +721,12 @@ def train_boosted_b(d):
 
 @query
 def score_batch(d):
-    return models.score_rows(d.model("logistic"), d.prepared().where(F.col(S.SET) == "test"))
+    # what holds of any right scores, so that it can be compared: a probability, and the class it implies
+    scores = models.score_rows(d.model("logistic"), d.prepared().where(F.col(S.SET) == "test"))
+    return scores.select(
+        S.CUSTOMER, F.col("score").between(0, 1).alias("in_range"),
+        (F.col("predicted") == (F.col("score") > 0.5).cast("int")).alias("agrees"),
+    )
 
 
 @query

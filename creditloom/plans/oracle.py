@@ -558,6 +558,15 @@ QUERIES = {
                      + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC) + " FROM filled",
     "winsorise": "SELECT SK_ID_CURR, " + ", ".join(_CAPPED) + " FROM prepared",
     "slice_sets": """SELECT SK_ID_CURR, CAST(TARGET AS INT) AS TARGET, "SET" AS slice FROM apps""",
+    "stratified_split": """SELECT SK_ID_CURR, CAST(TARGET AS INT) AS TARGET,
+        CASE WHEN row_number() OVER (PARTITION BY TARGET ORDER BY md5('42:' || SK_ID_CURR))
+          <= floor(count(*) OVER (PARTITION BY TARGET) * 0.2 + 0.5) THEN 'held_out' ELSE 'train' END AS part FROM train_set""",
+    "sample_n": """SELECT SK_ID_CURR FROM application
+        QUALIFY row_number() OVER (ORDER BY md5('42:' || SK_ID_CURR)) <= 1000""",
+    "model_roundtrip": """SELECT SK_ID_CURR, true AS same FROM train_set
+        QUALIFY row_number() OVER (PARTITION BY TARGET ORDER BY md5('42:' || SK_ID_CURR))
+          <= floor(count(*) OVER (PARTITION BY TARGET) * 0.2 + 0.5)""",
+    "score_batch": """SELECT SK_ID_CURR, true AS in_range, true AS agrees FROM test_set""",
     "stratified_split_shares": """SELECT TARGET, count(*) AS n, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS held_out
         FROM train_set GROUP BY TARGET""",
     "sample_n_size": """SELECT least(count(*), 1000) AS n, least(count(DISTINCT SK_ID_CURR), 1000) AS distinct_keys
