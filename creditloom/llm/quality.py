@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from creditloom.llm.scratch import let
+from creditloom.llm.scratch import Scratch, let
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -162,7 +162,7 @@ def estimate(patterns, n_rules):
     ]
 
 
-def judge_quality(df, text="text", keep_at=0.5):
+def judge_quality(df, text="text", keep_at=0.5, with_text=True):
     """``df`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, good_probability, kept.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text; word_chars counts their
@@ -172,22 +172,26 @@ def judge_quality(df, text="text", keep_at=0.5):
     than 20 words, or over 30 % of them repeated. good_probability is the
     posterior of the rules' votes; kept: not base_failed and at least ``keep_at``.
 
-    One pass counts vote patterns (at most 3^7 rows reach the driver), then the
-    verdict is one projection. NULL counts as an empty text and is not kept.
-    No row is dropped; repeated rows get equal verdicts. Input columns named like a result column are replaced.
+    The texts are read once: their statistics are kept in a table, with the
+    columns of ``df`` (without ``text`` if ``with_text`` is false). Then vote
+    patterns are counted, of which at most 3^7 reach the driver, and the verdict
+    is one projection. NULL counts as an empty text and is not kept. No row is
+    dropped; repeated rows get equal verdicts. Input columns named like a result column are replaced.
     """
     results = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                "good_probability", "kept")
     n_rules = len(rules())
     names = [f"v{i}" for i in range(n_rules)]
+    given = [c for c in df.columns if c.lower() not in results and not c.lower().startswith("q_") or c == text]
+    stats = with_statistics(df.select(*[df[f"`{c}`"] for c in given]), text)
+    if not with_text:
+        given.remove(text)
+        stats = stats.drop(text)
+    stats = Scratch(df.sparkSession, "quality").keep(stats, "statistics")
     failed = (F.col("q_n_words") < 20) | (100 * F.col("q_repeat_words") > 30 * F.col("q_n_words"))
     # The base rule decides alone about what it fails; the votes are about the rest.
-    passed = with_statistics(df.select(df[f"`{text}`"]), text).where(~failed)
-    counted = passed.select(*_votes()).groupBy(*names).count().collect()
+    counted = stats.where(~failed).select(*_votes()).groupBy(*names).count().collect()
     good_share, weights = estimate([(tuple(r[n] for n in names), r["count"]) for r in counted], n_rules)
-
-    given = [c for c in df.columns if c.lower() not in results and not c.lower().startswith("q_") or c == text]
-    stats = with_statistics(df.select(*[df[f"`{c}`"] for c in given]), text)
     odds = F.lit(math.log(good_share / (1 - good_share)))
     for vote, weight in zip(_votes(), weights):
         odds = odds + F.when(vote == BAD, weight[BAD]).when(vote == GOOD, weight[GOOD]).otherwise(0.0)
