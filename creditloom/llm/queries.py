@@ -22,8 +22,7 @@ def _table(spark, folder, name):
 
 
 def op1_quality_rules(spark, folder):
-    judged = quality.judge_quality(_table(spark, folder, "documents").select("doc_id", "text"))
-    return judged.drop("text")
+    return quality.judge_quality(_table(spark, folder, "documents").select("doc_id", "text"), with_text=False)
 
 
 def op2_near_duplicates(spark, folder):
@@ -85,6 +84,29 @@ QUERIES = {
     "op10_unigram_counts": op10_unigram_counts,
 }
 
+_OP2 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.other
+), named AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM named LEFT JOIN sizes USING (doc_id)
+"""
+
 _OP3 = """
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -174,4 +196,7 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-SQL = {"op3_chat_format": _OP3, "op4_repeated_passages": _OP4, "op6_decontaminate": _OP6, "op8_url_rules": _OP8}
+SQL = {
+    "op2_near_duplicates": _OP2, "op3_chat_format": _OP3, "op4_repeated_passages": _OP4, "op6_decontaminate": _OP6,
+    "op8_url_rules": _OP8,
+}
