@@ -60,6 +60,39 @@ def slim_checks(slim):
     ]
 
 
+def slim_report(df, rows=S.EXPECTED_ROWS["application_train"], limit=S.QUIRK_LIMIT):
+    """What ``run_checks`` says of the published table's checks, from one aggregate over it."""
+    age = F.col("days_birth").cast("double") / F.lit(365.0)
+    needed = ("amt_income_total", "amt_credit", "days_birth")
+    found = df.agg(
+        F.count_distinct(F.when(~F.col("target").isin(0, 1), F.col("target"))).alias("other_targets"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in needed],
+        F.count_if((age < 18) | (age > 100)).alias("odd_ages"),
+        F.count("*").alias("total"),
+        rate_pct("target").alias("rate"),
+        F.count_if(F.col("bur_total_debt") < 0).alias("neg_debt"),
+        F.count_if(F.col("cc_utilisation") > 1.0).alias("over_limit"),
+    )
+
+    def whether(condition):
+        return F.when(condition, 1).otherwise(0)
+
+    checks = [
+        ("accepted_values_target", "error", F.col("other_targets")),
+        ("not_null", "error", sum((whether(F.col(f"null_{c}") > 0) for c in needed), F.lit(0))),
+        ("age_range", "error", F.col("odd_ages")),
+        ("row_count", "error", whether(F.col("total") != rows)),
+        ("rate_band", "error", whether((F.col("rate") < 7.0) | (F.col("rate") > 9.0))),
+        ("quirks", "warn", whether((F.col("neg_debt") > limit) | (F.col("over_limit") > limit))),
+    ]
+    return found.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), n.cast("bigint").alias("failures"),
+            F.when(n == 0, "pass").otherwise(severity).alias("status"),
+        ) for name, severity, n in checks
+    ])))
+
+
 def run_checks(checks):
     """One row per check: offending rows and status pass, warn or error."""
     results = None

@@ -783,4 +783,4 @@ def dq_no_nulls(d):
 
 @query
 def dq_report(d):
-    return quality.run_checks(quality.slim_checks(d.slim()))
+    return quality.slim_report(d.slim())

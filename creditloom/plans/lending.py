@@ -176,4 +176,4 @@ def publish(spark, folder):
     mart.write.mode("overwrite").option("path", os.path.join(folder, "cohort_default_rates")).saveAsTable(
         "fct_cohort_default_rates"
     )
-    return spark.table("fct_cohort_default_rates"), quality.run_checks(quality.slim_checks(staged))
+    return spark.table("fct_cohort_default_rates"), quality.slim_report(staged)

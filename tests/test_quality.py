@@ -1,6 +1,7 @@
 """Checks return the offending rows, marts the cohort table."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from creditloom.operators import marts, quality
 from creditloom.sources import files
@@ -52,3 +53,14 @@ def test_mart(rows):
 def test_slim_contract(rows):
     with pytest.raises(KeyError, match="cc_utilisation"):
         files.slim(rows("AMT_CREDIT double", (1.0,)))
+
+
+def test_report_in_one_pass_equals_the_checks_one_by_one(spark):
+    from creditloom.plans import catalog
+    slim = catalog.data(spark, "/root/testdata/sf0.001").slim()
+    odd = slim.limit(3).withColumns({
+        "target": F.lit(2.0), "days_birth": F.lit(1).cast("int"), "amt_credit": F.lit(None).cast("double")})
+    for table in (slim, slim.unionByName(odd), slim.limit(0)):
+        report = quality.slim_report(table)
+        assert report.collect() == quality.run_checks(quality.slim_checks(table)).collect()
+    assert slim.unionByName(odd).count() == slim.count() + 3
