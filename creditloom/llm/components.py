@@ -31,6 +31,13 @@ def _local_stars(batches):
         )
 
 
+def _is_stars(edges):
+    """Whether every node points at one centre and no centre points anywhere."""
+    again = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1)
+    onward = edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").limit(1)
+    return again.select("u").union(onward.select("u")).isEmpty()
+
+
 def components(links, scratch, name="components"):
     """(node, component) for every node of ``links`` (columns a, b: long); component is its smallest reachable node.
 
@@ -42,13 +49,9 @@ def components(links, scratch, name="components"):
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = scratch.keep(map_batches(edges, _local_stars, "u long, v long").distinct(), f"{name}0")
-    # More edges than one per node, or a node that is both a leaf and a centre: not yet stars around minima.
-    state, round_ = None, 0
-    while True:
-        size, total = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if (size, total) == state or not size:
-            break
-        state, round_ = (size, total), round_ + 1
+    round_ = 0
+    while not _is_stars(edges):
+        round_ += 1
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

@@ -88,19 +88,6 @@ def test_crowded_region_of_near_copies(spark):
     assert got == {d: c for d, (_, c) in brute.near_duplicates(data, 4).items()}
 
 
-def test_crowded_regions_are_searched_exactly(spark):
-    """The exact way alone finds every link of a crowded region."""
-    half = prose(12, 100)
-    data = [(i, half + " " + prose(200 + i // 2, 60) + " end" * (i % 2)) for i in range(80)]
-    df, scratch = spark.createDataFrame(data, DOCS), Scratch(spark, "test")
-    signed = forest.signatures(df, 4, "doc_id", "text")
-    nodes = scratch.keep(signed.select(F.col("doc_id").alias("node"), "n_shingles", "keys"), "nodes")
-    labels = spark.createDataFrame([], "node long, component long")
-    pairs = forest.crowded_pairs(nodes, labels, df, 4, "doc_id", "text", 80, scratch)
-    links = forest.confirmed(pairs, nodes, df, 4, "doc_id", "text", 80, scratch, "t")
-    assert {tuple(r) for r in links.select("a", "b").collect()} == {(i, i + 1) for i in range(0, 80, 2)}
-
-
 def test_near_duplicates_of_null_and_repeated_ids(spark):
     text = prose(3, 50)
     data = [(None, text), (None, text), (4, text), (4, prose(4, 50)), (9, prose(4, 50)), (7, text)]
