@@ -10,6 +10,11 @@ shingle sets. Documents with equal sets are one node from the start.
 A first round looks at next neighbours in a few orders, which connects most of
 a group of copies; the second looks at several neighbours in all orders, but
 only across what is not connected yet, so a large group costs no more pairs.
+
+Regions with more members than the neighbours cover, and of more than one
+component then, are searched exactly: their members are dealt out in blocks of
+bounded size, and every pair of different components meets in one of them. The
+blocks give no pairs but only edges that connect what the pairs connect.
 """
 
 import numpy as np
@@ -21,13 +26,15 @@ from pyspark.sql import functions as F
 from creditloom.llm.components import components
 from creditloom.llm.scratch import Scratch, small
 from creditloom.llm.words import Words, mixed, text_slices, window_hashes
-from creditloom.llm.workers import map_batches
+from creditloom.llm.workers import map_batches, map_groups
 
 PARTS, DEPTH = 16, 6  # parts of a signature, and values in each
 ORDERS = 2 * PARTS  # by each part, and by the second half of each with the first half of the next
 LEAST_DEPTH = 2  # common values that make neighbours candidates; a pair of similarity 0.8 lacks them in all orders once in 10^7
 ROUNDS = ((4, 1), (ORDERS, 8))  # orders, and neighbours on either side
 ESTIMATE_SLACK = 0.25  # below the wanted similarity; five deviations of the sketch's estimate
+BLOCK_NODES, BLOCK_SHINGLES = 1000, 400_000  # of each of the two sides of a block
+BLOCK_COLUMNS = 2048  # shingles that are multiplied at a time
 _VALUES, _KEY = PARTS * DEPTH, 4 * DEPTH
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 0x20
@@ -102,10 +109,15 @@ _KINDS = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64
 _NAMES = ["a", "b", "part", "place", "tree", "key", "node", "size", "sketch", "component"]
 
 
+def _least_equal(percent):
+    """Values of a sketch that are equal at least where two sets may be similar."""
+    similarity = percent / 100 - ESTIMATE_SLACK
+    return int(_VALUES * (similarity + (1 - similarity) / 4))  # values differ in two bits by chance too
+
+
 def _neighbours(percent, near, by_part):
     """Candidate pairs among rows sorted by tree and key; with ``by_part`` also the rows at a task's ends."""
-    similarity = percent / 100 - ESTIMATE_SLACK
-    least_equal = int(_VALUES * (similarity + (1 - similarity) / 4))  # values differ in two bits by chance too
+    least_equal = _least_equal(percent)
 
     def pairs(tree, key, node, size, sketch, component):
         prefix = key[:, :4 * LEAST_DEPTH].copy().view(">u8").ravel()
@@ -161,6 +173,16 @@ def _neighbours(percent, near, by_part):
     return scan
 
 
+def _in_orders(nodes, orders, length):
+    """``nodes`` in each of the first ``orders`` orders, with the first ``length`` bytes of their keys there."""
+    half = F.lit(_KEY // 2)
+    start = F.when(F.col("t") < PARTS, F.col("t") * _KEY).otherwise((F.col("t") - PARTS) * _KEY + half)
+    return nodes.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(orders - 1)))).select(
+        F.col("t").alias("tree"), F.substring(F.concat("keys", "keys"), start + 1, F.lit(length)).alias("key"),
+        "node", F.col("n_shingles").alias("size"), "sketch", "component",
+    )
+
+
 def candidates(nodes, orders, near, percent, scratch, name):
     """(a, b) of nodes of different components that are neighbours in one of the first ``orders`` orders.
 
@@ -168,12 +190,7 @@ def candidates(nodes, orders, near, percent, scratch, name):
     ranges, so a crowded region is spread over tasks. The few rows at the ends
     of the tasks' ranges meet those of the next range in a second scan.
     """
-    half = F.lit(_KEY // 2)
-    start = F.when(F.col("t") < PARTS, F.col("t") * _KEY).otherwise((F.col("t") - PARTS) * _KEY + half)
-    rows = nodes.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(orders - 1)))).select(
-        F.col("t").alias("tree"), F.substring(F.concat("keys", "keys"), start + 1, F.lit(_KEY)).alias("key"),
-        "node", F.col("n_shingles").alias("size"), "sketch", "component",
-    )
+    rows = _in_orders(nodes, orders, _KEY)
     ordered = rows.repartitionByRange("tree", "key").sortWithinPartitions("tree", "key", "node")
     found = scratch.keep(map_batches(ordered, _neighbours(percent, near, True), _FOUND), f"{name}_neighbours")
     # As many rows as the ranges have ends: twice ``near`` for each task of the scan.
@@ -231,6 +248,130 @@ def _sets_of(df, wanted, shingle, doc, text):
     return map_batches(source.join(small(wanted), "node", "left_semi"), made, "node long, shingles binary")
 
 
+def _in_blocks(rows, group, function):
+    """``function`` on blocks of ``rows`` of one group, in which every two rows of the group meet at least once.
+
+    A group is cut into ``blocks`` chunks by a hash of the node, and each two
+    chunks are one block. ``function`` has the block's columns, sorted by node,
+    and gives a boolean matrix of the pairs that belong together; the result
+    (a, b: long) connects what these pairs connect, with fewer edges than rows.
+    """
+    chunk = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = rows.withColumn("chunk", chunk).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
+    ).withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")}).drop("other", "blocks")
+
+    def edges(block):
+        block = block.sort_by("node")
+        low, high, chunk, node = (block.column(c).to_numpy() for c in ("low", "high", "chunk", "node"))
+        x, y = np.flatnonzero(chunk == low[0]), np.flatnonzero(chunk == high[0])
+        together = np.zeros((len(node), len(node)), np.bool_)
+        together[np.ix_(x, y)] = function(block, x, y)
+        together |= together.T
+        left, a, b = together.any(1), [], []
+        for first in range(len(node)):
+            if not left[first]:
+                continue
+            left[first], found = False, np.array([first])
+            while len(found):
+                found = np.flatnonzero(together[found].any(0) & left)
+                left[found] = False
+                a.append(np.full(len(found), node[first])), b.append(node[found])
+        return pa.table({"a": np.concatenate([*a, np.zeros(0, np.int64)]), "b": np.concatenate([*b, np.zeros(0, np.int64)])})
+
+    return map_groups(dealt, [*group, "low", "high"], edges, "a long, b long")
+
+
+def _similar_sketches(percent):
+    """Pairs of a block, of different components, whose sketches and sizes allow the wanted similarity."""
+    most_different = _VALUES - _least_equal(percent)
+
+    def similar(block, x, y):
+        sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint64).reshape(len(block), -1)
+        size, component = block.column("size").to_numpy(), block.column("component").to_numpy()
+        different = np.zeros((len(x), len(y)), np.int64)
+        for word in sketch.T:
+            bits = word[x][:, None] ^ word[y][None, :]
+            different += np.bitwise_count((bits | bits >> np.uint64(1)) & np.uint64(0x5555555555555555))
+        low, high = np.minimum.outer(size[x], size[y]), np.maximum.outer(size[x], size[y])
+        return (
+            (different <= most_different) & (100 * low >= percent * high) & (component[x][:, None] != component[y][None, :])
+        )
+
+    return similar
+
+
+def _similar_sets(percent):
+    """Pairs of a block, of different components, whose shingle sets have intersection and union in the wanted ratio."""
+
+    def similar(block, x, y):
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in block.column("shingles").combine_chunks()]
+        component = block.column("component").to_numpy()
+        size = np.array([len(s) for s in sets])
+        _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+        row = np.repeat(np.arange(len(sets)), size)
+        sides = []
+        for side in (x, y):
+            place = np.full(len(sets), -1)
+            place[side] = np.arange(len(side))
+            of_side = place[row] >= 0
+            sides.append((place[row[of_side]], shingle[of_side]))
+        both = np.intersect1d(sides[0][1], sides[1][1])
+        shared = np.zeros((len(x), len(y)), np.int64)
+        columns = []
+        for place, shingles in sides:
+            at = np.searchsorted(both, shingles)
+            at[at == len(both)] = 0
+            known = both[at] == shingles if len(both) else np.zeros(len(at), np.bool_)
+            order = np.argsort(at[known], kind="stable")
+            columns.append((place[known][order], at[known][order]))
+        for first in range(0, len(both), BLOCK_COLUMNS):
+            dense = []
+            for side, (place, at) in zip((x, y), columns):
+                part = slice(*np.searchsorted(at, [first, first + BLOCK_COLUMNS]))
+                matrix = np.zeros((len(side), min(BLOCK_COLUMNS, len(both) - first)), np.float32)
+                matrix[place[part], at[part] - first] = 1
+                dense.append(matrix)
+            shared += (dense[0] @ dense[1].T).astype(np.int64)
+        union = np.add.outer(size[x], size[y]) - shared
+        return (shared > 0) & (100 * shared >= percent * union) & (component[x][:, None] != component[y][None, :])
+
+    return similar
+
+
+def crowded_links(nodes, df, shingle, doc, text, percent, scratch):
+    """(a, b) that connect all similar nodes that share a crowded region and are not connected yet; None without any.
+
+    ``nodes``: node, n_shingles, keys, sketch, component. A region (first values
+    of an order) of no more nodes than the neighbours on one side has had all
+    its pairs compared. In a larger one, of more than one component, sketches
+    are compared in blocks; what they connect is one family. All pairs of a
+    family are then compared by their full sets, in blocks again.
+    """
+    regions = _in_orders(nodes, ORDERS, 4 * LEAST_DEPTH)
+    crowded = scratch.keep(
+        regions.groupBy("tree", "key").agg(
+            F.count("*").alias("n"), F.min("component").alias("first"), F.max("component").alias("last")
+        ).where(f"n > {ROUNDS[-1][1] + 1} AND first < last").select(
+            "tree", "key", F.ceil(F.col("n") / BLOCK_NODES).alias("blocks")
+        ), "crowded",
+    )
+    if crowded.isEmpty():
+        return None
+    alike = _in_blocks(regions.join(small(crowded), ["tree", "key"]), ["tree", "key"], _similar_sketches(percent))
+    alike = scratch.keep(alike.distinct(), "crowded_alike")
+    families = components(alike, scratch, "crowded_components").withColumnRenamed("component", "family")
+    families = scratch.keep(families, "crowded_families")
+    named = nodes.groupBy("node").agg(F.min("component").alias("component"))
+    sets = _sets_of(df, families.select("node"), shingle, doc, text).where("length(shingles) > 0")
+    sets = scratch.keep(sets.join(families, "node").join(named, "node"), "crowded_sets")
+    blocks = scratch.keep(sets.groupBy("family").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum(F.length("shingles")) / (8 * BLOCK_SHINGLES))
+    ).alias("blocks")), "crowded_blocks")
+    links = _in_blocks(sets.join(small(blocks), "family"), ["family"], _similar_sets(percent))
+    return scratch.keep(links.distinct(), "crowded_links")
+
+
 def near_duplicates(df, shingle=5, percent=80, doc="doc_id", text="text", name="near_duplicates"):
     """Per row of ``df``: doc_id, n_shingles (long), component_id (long) and kept.
 
@@ -246,9 +387,8 @@ def near_duplicates(df, shingle=5, percent=80, doc="doc_id", text="text", name="
     is NULL and it is kept. Other columns are ignored; no row is dropped.
 
     Links are confirmed on full sets of 64-bit shingle hashes. A pair of
-    similarity 0.8 has no common prefix in any order about once in 10^7. In a
-    region more crowded than the neighbours looked at, a pair is found if it is
-    near in one of the 32 orders, or connected through others.
+    similarity 0.8 has no common prefix in any order about once in 10^7. Regions
+    more crowded than the neighbours looked at are searched exactly.
     """
     scratch = Scratch(df.sparkSession, name)
     signed = scratch.keep(signatures(df, shingle, doc, text), "signatures")
@@ -271,11 +411,17 @@ def near_duplicates(df, shingle=5, percent=80, doc="doc_id", text="text", name="
 
     links = scratch.keep(same_id, "same_id")
     labels = df.sparkSession.createDataFrame([], "node long, component long")
+
+    def named():
+        return nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
     for i, (orders, near) in enumerate(ROUNDS):
-        named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        pairs = candidates(named, orders, near, percent, scratch, f"round{i}")
+        pairs = candidates(named(), orders, near, percent, scratch, f"round{i}")
         links = links.union(confirmed(pairs, df, shingle, doc, text, percent, scratch, f"round{i}"))
         labels = scratch.keep(components(links, scratch, f"round{i}_components"), f"round{i}_labels")
+    more = crowded_links(scratch.keep(named(), "named"), df, shingle, doc, text, percent, scratch)
+    if more is not None:
+        labels = scratch.keep(components(links.union(more), scratch, "crowded_all"), "crowded_labels")
     return rows.join(labels, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"),
         F.coalesce(F.coalesce("component", "node") == F.col("doc_id"), F.lit(True)).alias("kept"),

@@ -88,6 +88,25 @@ def test_crowded_region_of_near_copies(spark):
     assert got == {d: c for d, (_, c) in brute.near_duplicates(data, 4).items()}
 
 
+def star_family(n, n_words, changed):
+    """A text and ``n`` copies with ``changed`` scattered words replaced: each similar to the text, but not to other copies."""
+    base, gap = prose(21, n_words).split(), n_words // changed
+    data = [(0, " ".join(base))]
+    for i in range(1, n + 1):
+        r, copy = np.random.Generator(np.random.PCG64(i)), list(base)
+        for k in range(changed):
+            copy[k * gap + int(r.integers(4, gap - 4))] = f"w{i}x{k}"
+        data.append((i, " ".join(copy)))
+    return data
+
+
+def test_star_of_more_copies_than_neighbours(spark):
+    """Copies that are linked with their original alone all find it."""
+    data = star_family(1200, 250, 6)
+    got = {r.doc_id: r.component_id for r in forest.near_duplicates(spark.createDataFrame(data, DOCS), 4).collect()}
+    assert got == {d: c for d, (_, c) in brute.near_duplicates(data, 4).items()} == dict.fromkeys(got, 0)
+
+
 def test_near_duplicates_of_null_and_repeated_ids(spark):
     text = prose(3, 50)
     data = [(None, text), (None, text), (4, text), (4, prose(4, 50)), (9, prose(4, 50)), (7, text)]
