@@ -88,6 +88,17 @@ def test_crowded_region_of_near_copies(spark):
     assert got == {d: c for d, (_, c) in brute.near_duplicates(data, 4).items()}
 
 
+def test_crowded_regions_are_searched_exactly(spark):
+    """The exact way alone finds every link of a crowded region."""
+    half = prose(12, 100)
+    data = [(i, half + " " + prose(200 + i // 2, 60) + " end" * (i % 2)) for i in range(80)]
+    df, scratch = spark.createDataFrame(data, DOCS), Scratch(spark, "test")
+    signed = forest.signatures(df, 4, "doc_id", "text")
+    nodes = signed.select(F.col("doc_id").alias("node"), "n_shingles", "keys", "sketch", F.col("doc_id").alias("component"))
+    links = forest.crowded_links(scratch.keep(nodes, "nodes"), df, 4, "doc_id", "text", 80, scratch)
+    assert {tuple(r) for r in links.select("a", "b").collect()} == {(i, i + 1) for i in range(0, 80, 2)}
+
+
 def star_family(n, n_words, changed):
     """A text and ``n`` copies with ``changed`` scattered words replaced: each similar to the text, but not to other copies."""
     base, gap = prose(21, n_words).split(), n_words // changed
