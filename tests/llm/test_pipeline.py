@@ -8,7 +8,7 @@ import brute
 import corpus_pipeline
 from compare import connect, differences
 from creditloom.llm import quality, queries
-from test_operators import check_packing
+from test_operators import check_packing, star_family
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -48,6 +48,14 @@ def test_stages(spark):
     assert sorted(tuple(r[k] for k in key) for r in whole.collect()) == sorted(tuple(r[k] for k in key) for r in packed)
 
 
+def test_one_document_of_a_star_of_many_copies_stays(spark):
+    data = star_family(700, 250, 5)
+    groups = brute.near_duplicates(data, 5)
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    single = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, FOLDER)
+    assert sorted(pairs(single)) == [(d, t) for d, t in data if groups[d][1] == d] == data[:1]
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_equals_sql(spark, name):
     assert differences(queries.QUERIES[name](spark, FOLDER), connect(FOLDER), queries.SQL[name]) == ""
