@@ -18,12 +18,16 @@ from creditloom.llm.workers import map_batches
 
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object canvas audio video select".split())
+RAW = frozenset("script style template textarea iframe".split())
 INLINE = frozenset((
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter nobr output progress q "
-    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr"
+    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr audio canvas noscript object video "
+    "math annotation maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot "
+    "mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics "
+    "svg circle clippath defs desc ellipse filter g line lineargradient marker mask path pattern polygon polyline "
+    "radialgradient rect stop symbol text textpath tspan use"
 ).split())
-BOILER_TAGS = frozenset("nav footer aside form menu dialog button fieldset datalist head title".split())
+BOILER_TAGS = frozenset("nav footer aside form menu dialog button select fieldset datalist head title".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form toolbar".split())
 BOILER_WORDS = frozenset((
     "ad ads adv advert adverts advertisement adsense banner sponsor sponsored promo promotion cookie cookies consent "
@@ -113,7 +117,7 @@ def blocks_of(html):
     def pop_to(i):
         del stack[i:]
 
-    at = 0
+    at, endless = 0, set()
     while at < len(html):
         m = _TOKEN.search(html, at)
         add(html[at:m.start() if m else len(html)])
@@ -136,9 +140,12 @@ def blocks_of(html):
                 pop_to(open_at)
             continue
         if tag in RAW:
-            if not m[3].rstrip().endswith("/"):
+            if not m[3].rstrip().endswith("/") and tag not in endless:
                 end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(html, at)
-                at = end.start() if end else len(html)
+                if end:
+                    at = end.start()
+                else:
+                    endless.add(tag)
             continue
         if tag in VOID:
             if tag in ("br", "wbr"):

@@ -247,6 +247,18 @@ def test_main_text(html, text):
     assert found == text or text == "" and html and html.startswith("<p>a <")
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<article><p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.<p>End.</article>", "Here x=2 holds.\nEnd."),
+    ("<article><p>See <object data=a.pdf>the text of the plan</object> first.</article>", "See the text of the plan first."),
+    ("<article><p>A <svg><path d='M0'/><text>label</text></svg> b, <video src=c>a film</video>.</article>", "A label b, a film."),
+    ("<article><p>Before it.<svg viewBox='0'><p>After it.</article>", "Before it.\nAfter it."),
+    ("<article><p>Before it.<iframe src=a><p>After it.</article>", "Before it.\nAfter it."),
+    ("<article><p>Pick one.</p><select><option>red<option>blue</select><p>Done now.</article>", "Pick one.\nDone now."),
+])
+def test_only_scripts_and_controls_are_skipped(html, text):
+    assert pages.main_text(html) == text
+
+
 def test_minimum_cut_against_all_cuts():
     import itertools
     import random
