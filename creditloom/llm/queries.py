@@ -3,7 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from creditloom.llm import chat, decontaminate, forest, packing, pages, quality, repeats, token_files, unigram, urls
+from creditloom.llm import (
+    chat, decontaminate, forest, packing, pages, quality, repair, repeats, token_files, unigram, urls,
+)
 
 # The rules the URL query states.
 URL_RULES = [
@@ -71,6 +73,33 @@ def op10_unigram_counts(spark, folder):
     return unigram.count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def _damaged(conversations):
+    """The rows of the conversations with the faults that op11 states; ``present`` is false where a row is dropped."""
+    def or_space(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    draw = F.crc32(F.concat_ws(":", or_space("conv_id"), or_space("turn")).cast("binary")) % 20
+    text = F.when(F.col("draw") == 1, "").when(F.col("draw") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return (
+        conversations.select("conv_id", "turn", or_space("role").alias("role"), or_space("text").alias("text"))
+        .withColumn("draw", draw)
+        .select(
+            "conv_id", "turn", F.when(F.col("draw") == 4, "user").otherwise(F.col("role")).alias("role"),
+            text.alias("text"), (F.col("draw") != 0).alias("present"),
+            F.explode(F.array_repeat(F.lit(0), F.when(F.col("draw") == 3, 2).otherwise(1))).alias("copy"),
+        ).drop("copy")
+    )
+
+
+def op11_repair_conversations(spark, folder):
+    damaged = _damaged(_table(spark, folder, "conversations"))
+    report, repaired = repair.repair_conversations(damaged, present="present")
+    digests = repair.digest_turns(repaired).withColumnRenamed("conv_id", "of")
+    return report.join(digests, F.col("conv_id").eqNullSafe(F.col("of")), "left").select(
+        *report.columns, F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_duplicates": op2_near_duplicates,
@@ -82,6 +111,7 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_pack_sequences": op9_pack_sequences,
     "op10_unigram_counts": op10_unigram_counts,
+    "op11_repair_conversations": op11_repair_conversations,
 }
 
 _OP2 = """
