@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from creditloom.llm import (
-    chat, decontaminate, forest, packing, pages, quality, repair, repeats, token_files, unigram, urls,
+    chat, collocations, decontaminate, forest, packing, pages, quality, repair, repeats, token_files, unigram, urls,
 )
 
 # The rules the URL query states.
@@ -100,6 +100,10 @@ def op11_repair_conversations(spark, folder):
     )
 
 
+def op13_phrase_collocations(spark, folder):
+    return collocations.collocations(_table(spark, folder, "documents").select("lang", "text"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_duplicates": op2_near_duplicates,
@@ -112,6 +116,7 @@ QUERIES = {
     "op9_pack_sequences": op9_pack_sequences,
     "op10_unigram_counts": op10_unigram_counts,
     "op11_repair_conversations": op11_repair_conversations,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 _OP2 = """
@@ -226,7 +231,38 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+_OP13 = """
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)
+), f AS (
+  SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) AS sizes(m)
+        WHERE len(ws) >= m)
+  GROUP BY ALL
+), totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS ws, a FROM f WHERE m > 1 AND a >= 10),
+cuts AS (
+  SELECT lang, m, phrase, a, k, array_to_string(ws[1:k], ' ') AS p, array_to_string(ws[k + 1:], ' ') AS q
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r,
+    CAST(1000000 * CAST(c.a AS HUGEINT) * c.a // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score,
+    row_number() OVER (PARTITION BY c.lang, c.phrase
+      ORDER BY 1000000 * CAST(c.a AS HUGEINT) * c.a // (CAST(x.a AS HUGEINT) * y.a), k) AS place
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.p JOIN f y ON y.lang = c.lang AND y.phrase = c.q
+), longer AS (
+  SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, a
+  FROM candidates WHERE m = 3
+), covers AS (SELECT lang, phrase, max(a) AS most FROM longer GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM scored LEFT JOIN covers USING (lang, phrase) JOIN totals USING (lang)
+WHERE place = 1 AND NOT coalesce(100 * most >= 50 * a, false)
+QUALIFY rank <= 2000
+"""
+
 SQL = {
     "op2_near_duplicates": _OP2, "op3_chat_format": _OP3, "op4_repeated_passages": _OP4, "op6_decontaminate": _OP6,
-    "op8_url_rules": _OP8,
+    "op8_url_rules": _OP8, "op13_phrase_collocations": _OP13,
 }
