@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from creditloom.llm import (
-    chat, collocations, decontaminate, forest, packing, pages, quality, repair, repeats, token_files, unigram, urls,
+    chat, collocations, decontaminate, forest, packing, pages, quality, repair, repeats, shards, token_files, unigram,
+    urls,
 )
 
 # The rules the URL query states.
@@ -100,6 +101,11 @@ def op11_repair_conversations(spark, folder):
     )
 
 
+def op12_shard_documents(spark, folder):
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return shards.shard_documents(documents, shards.even_tree(3, 2, 4), grown=shards.even_tree(3, 2, 4, added=1))
+
+
 def op13_phrase_collocations(spark, folder):
     return collocations.collocations(_table(spark, folder, "documents").select("lang", "text"))
 
@@ -116,6 +122,7 @@ QUERIES = {
     "op9_pack_sequences": op9_pack_sequences,
     "op10_unigram_counts": op10_unigram_counts,
     "op11_repair_conversations": op11_repair_conversations,
+    "op12_shard_documents": op12_shard_documents,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 
@@ -231,6 +238,40 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+_OP12 = """
+WITH table_of_crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t
+), docs AS (
+  SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 8 AS BIGINT) AS size,
+    xor(4294967295, list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+      lambda h: CAST('0x' || h AS BIGINT)), lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) AS text_crc32
+  FROM documents, table_of_crc
+), tree AS (
+  SELECT m, '/' || CASE WHEN s < 24 THEN s // 8 ELSE 3 END AS region,
+    '/' || CASE WHEN s < 24 THEN s // 4 % 2 ELSE 0 END AS rack, '/' || s AS leaf
+  FROM (VALUES (24), (25)) AS sizes(m), range(25) AS shards(s) WHERE s < m
+), nodes AS (
+  SELECT m, '' AS parent, region AS path, count(*) AS weight FROM tree GROUP BY ALL
+  UNION ALL SELECT m, region, region || rack, count(*) FROM tree GROUP BY ALL
+  UNION ALL SELECT m, region || rack, region || rack || leaf, 1 FROM tree
+), keys AS (SELECT DISTINCT coalesce(CAST(doc_id AS VARCHAR), '') AS key FROM docs),
+level_1 AS (
+  SELECT key, m, arg_max(path, ln((CAST('0x' || substr(md5(key || path), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)
+    / weight) AS won FROM keys, nodes WHERE parent = '' GROUP BY ALL
+), level_2 AS (
+  SELECT key, l.m, arg_max(path, ln((CAST('0x' || substr(md5(key || path), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)
+    / weight) AS won FROM level_1 l JOIN nodes n ON n.m = l.m AND n.parent = l.won GROUP BY ALL
+), level_3 AS (
+  SELECT key, l.m, arg_max(path, ln((CAST('0x' || substr(md5(key || path), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)
+    / weight) AS won FROM level_2 l JOIN nodes n ON n.m = l.m AND n.parent = l.won GROUP BY ALL
+), chosen AS (SELECT key, m, CAST(split_part(won, '/', 4) AS INTEGER) AS shard FROM level_3)
+SELECT doc_id, size, text_crc32, 'key' AS law, a.shard,
+  row_number() OVER (PARTITION BY a.shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, b.shard AS grown_shard
+FROM docs JOIN chosen a ON a.key = coalesce(CAST(doc_id AS VARCHAR), '') AND a.m = 24
+JOIN chosen b ON b.key = a.key AND b.m = 25
+"""
+
 _OP13 = """
 WITH pieces AS (
   SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (
@@ -264,5 +305,6 @@ QUALIFY rank <= 2000
 
 SQL = {
     "op2_near_duplicates": _OP2, "op3_chat_format": _OP3, "op4_repeated_passages": _OP4, "op6_decontaminate": _OP6,
-    "op8_url_rules": _OP8, "op13_phrase_collocations": _OP13,
+    "op8_url_rules": _OP8, "op12_shard_documents": _OP12,
+    "op13_phrase_collocations": _OP13,
 }

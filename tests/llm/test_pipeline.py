@@ -62,7 +62,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in (*range(1, 12), 13)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert {*queries.QUERIES, "pipeline"} <= set(contract.queries())
 
 
