@@ -4,7 +4,7 @@ import os
 from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from creditloom import settings as S
 from creditloom.functions.scalar import col, quoted, unquoted
+from creditloom.operators.boosting import BoostedTrees
 from creditloom.operators.profile import class_counts
 from creditloom.operators.quantiles import medians
 from creditloom.operators.ranking import class_report, ranking_summary
@@ -34,11 +35,14 @@ LEARNERS = {
     "boosted_a": {
         "weights": "positive",
         "params": {
-            "maxIter": 400, "maxDepth": 5, "stepSize": 0.05,
-            "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
+            "maxIter": 400, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "columnShare": 0.8,
+            "regLambda": 1.0, "minHessian": 1.0,
         },
     },
-    "boosted_b": {"weights": "balanced", "params": {"maxIter": 600, "maxDepth": 7, "stepSize": 0.03}},
+    "boosted_b": {
+        "weights": "balanced",
+        "params": {"maxIter": 600, "maxDepth": 7, "stepSize": 0.03, "maxLeaves": 63, "minRows": 20},
+    },
 }
 
 
@@ -63,7 +67,7 @@ def _estimator(name, label, total_weight, rows, seed, overrides):
         )
     if name == "forest":
         return RandomForestClassifier(**common, seed=seed, **params)
-    return GBTClassifier(**common, seed=seed, **params)
+    return BoostedTrees(**common, seed=seed, **params)
 
 
 def weighted(df, label=S.LABEL, kind="balanced", counts=None):

@@ -719,6 +719,22 @@ def train_boosted_b(d):
     return _trained(d, "boosted_b")
 
 
+@query
+def boosted_rounds(d):
+    # what holds of any right fit, so that it can be compared: every round lowers the loss, no tree passes its limits
+    model = d.model("boosted_b")
+    last = model.stages[-1]
+    rows, _, _ = models.weighted(d.split()[0], kind=models.LEARNERS["boosted_b"]["weights"])
+    losses = last.staged_loss(model.transform(rows.select(S.LABEL, models.WEIGHT, *[col(c) for c in d.model_features()])))
+    earlier = losses.select((F.col("round") + 1).alias("round"), F.col("loss").alias("before"))
+    leaves = last.node_table(d.spark).where("feature < 0").groupBy((F.col("tree") + 1).cast("bigint").alias("round")).agg(
+        ((F.count("*") <= 63) & (F.max("node") < 2**8)).alias("within")
+    )
+    return losses.join(earlier, "round", "left").join(leaves, "round").select(
+        "round", (F.col("loss") <= F.coalesce("before", "loss") + 1e-12).alias("falls"), "within"
+    )
+
+
 @query
 def score_batch(d):
     # what holds of any right scores, so that it can be compared: a probability, and the class it implies

