@@ -1,12 +1,13 @@
 """Exact quantiles of many columns without sorting and without unbounded buffers.
 
 A quantile of n values interpolates between the values of two neighbouring
-ranks. Each round spreads the values between two known ones over equal bins,
-counts them, and goes on in the bin that holds the lower rank, between the
-smallest and the largest value found in it, remembering the next value above.
-A bin with one distinct value ends the search however many rows hold that value;
-a bin with few rows is sorted. Every round is one grouped count combined in the tasks, so what is shuffled and
-what reaches the driver depends on the number of columns, not of rows.
+ranks. A sketch of about equally filled cuts brackets the wanted rank; the next
+pass counts the values below, at the ends of, within and above the bracket, so
+it is known exactly which of these holds the rank, and sketches them anew. Once a
+bracket holds few values, they are counted one by one. Each pass leaves a fixed
+share of the values whatever they are, so passes follow the logarithm of the
+rows, and a value held by very many rows ends a search. A pass is one grouped
+aggregate combined in the tasks; the driver sees a row per search.
 """
 
 import math
@@ -18,19 +19,19 @@ from pyspark.sql import functions as F
 from creditloom.operators.columns import number_facts, stacked
 from creditloom.session import small_table
 
-BINS = 1024
-# A search is finished by sorting once it holds this many values, and all searches together this many.
-GATHER_EACH = 50_000
-GATHER_ALL = 2_000_000
+CUTS = 500  # of a sketch
+ACCURACY = 2000  # of a sketch: ranks are off by one in so many
+MARGIN = 3  # cuts on either side of a rank's own; more than the sketch can be off
+COUNTED = 20_000  # values that are counted one by one, for each search, about
 
-_SEARCH = "s int, i int, low double, high double, rank long"
+_SEARCH = "s int, i int, low double, high double, lo double, hi double, rank long"
 
 
 @dataclass(frozen=True)
 class _Search:
     """The values with a rank (from 0) and the next rank among the values of column i in [low, high].
 
-    ``size`` is their number, ``after`` the smallest value above them.
+    ``size`` is their number, ``after`` the smallest value above them, ``cuts`` their sketch if there is one.
     """
 
     i: int
@@ -39,50 +40,71 @@ class _Search:
     high: float
     size: int
     after: float = None
+    cuts: tuple = None
+
+    def bracket(self):
+        """Two values that the wanted one most likely lies between."""
+        at = self.rank * CUTS // self.size
+        lo, hi = at - 1 - MARGIN, at + MARGIN
+        return (
+            self.cuts[lo] if 0 <= lo < len(self.cuts) else self.low,
+            self.cuts[hi] if hi < len(self.cuts) else self.high,
+        )
+
+    def few(self):
+        """Whether the bracket holds few enough values to count each."""
+        return self.size * (2 * MARGIN + 2) <= COUNTED * CUTS
+
+    def pair(self):
+        """Both values, once all values here are one."""
+        return self.low, self.low if self.rank + 1 < self.size else self.after
+
 
-    def pair(self, values):
-        """Both values, given those in reach or the one value all of them have."""
-        if values is None:
-            values = (self.low, self.low)
-        first, second = values
-        return first, second if self.rank + 1 < self.size else self.after
+def _sketch():
+    return F.percentile_approx("x", [i / CUTS for i in range(1, CUTS)], ACCURACY).alias("cuts")
 
 
 def _in_reach(df, columns, searches):
-    """Values within the bounds of each search, as rows (s, x, low, high, rank)."""
+    """Values within the bounds of each search, as rows (s, x, lo, hi, rank)."""
     used = sorted({s.i for s in searches})
     table = small_table(
-        df.sparkSession, [(k, used.index(s.i), s.low, s.high, s.rank) for k, s in enumerate(searches)], _SEARCH
+        df.sparkSession, [(k, used.index(s.i), s.low, s.high, *s.bracket(), s.rank) for k, s in enumerate(searches)],
+        _SEARCH,
     )
     values = stacked(df, [columns[i] for i in used]).where(F.col("x").isNotNull())
     # one row per search: a few per column
     return values.join(F.broadcast(table), "i").where(F.col("x").between(F.col("low"), F.col("high")))
 
 
-def _sorted_out(df, columns, searches):
-    """The wanted values themselves, by sorting what is in reach."""
-    place = F.col("rank").cast("int")
-    found = (
-        _in_reach(df, columns, searches).groupBy("s", "rank")
-        .agg(F.sort_array(F.collect_list("x")).alias("xs"))
-        .select("s", F.get("xs", place).alias("x"), F.get("xs", place + 1).alias("y"))
+def _sketched(df, columns, searches):
+    """The searches with a sketch of the values in their bounds; searches of one column and bounds share it."""
+    bounds = sorted({(s.i, s.low, s.high) for s in searches})
+    used = sorted({i for i, _, _ in bounds})
+    table = small_table(
+        df.sparkSession, [(k, used.index(i), low, high) for k, (i, low, high) in enumerate(bounds)],
+        "s int, i int, low double, high double",
     )
-    values = {row.s: (row.x, row.y) for row in found.collect()}
-    return [s.pair(values[k]) for k, s in enumerate(searches)]
-
-
-def _narrowed(df, columns, searches, bins):
-    """Each search in the one bin that holds its rank."""
-    span = F.col("high") - F.col("low")
-    spot = F.floor((F.col("x") - F.col("low")) / span * bins)
-    binned = (
-        _in_reach(df, columns, searches)
-        .groupBy("s", "rank", F.least(spot, F.lit(bins - 1)).alias("bin"))
-        .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    values = stacked(df, [columns[i] for i in used]).join(F.broadcast(table), "i")
+    found = values.where(F.col("x").between(F.col("low"), F.col("high"))).groupBy("s").agg(_sketch())
+    cuts = {bounds[row.s]: tuple(row.cuts) for row in found.collect()}
+    return [replace(s, cuts=cuts[s.i, s.low, s.high]) for s in searches]
+
+
+def _narrowed(df, columns, searches, one_by_one):
+    """Each search in the part of its values that holds the rank.
+
+    The parts are those below, at the ends of, within and above the bracket; within it every value is a part of its
+    own if they are counted ``one_by_one``, else the parts are sketched.
+    """
+    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
+    within = F.when((x >= lo) & (x <= hi), x) if one_by_one else F.lit(None).cast("double")
+    part = F.when(x < lo, 0).when(x == lo, 1).when(x < hi, 2).when(x == hi, 3).otherwise(4)
+    parts = _in_reach(df, columns, searches).groupBy("s", "rank", part.alias("part"), within.alias("value")).agg(
+        F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"), *([] if one_by_one else [_sketch()])
     )
-    # at most one row per search and bin
-    along = Window.partitionBy("s").orderBy("bin")
-    hit = binned.withColumns({
+    # five rows per search, or one per counted value
+    along = Window.partitionBy("s").orderBy("low")
+    hit = parts.withColumns({
         "before": F.sum("n").over(along) - F.col("n"), "after": F.lead("low").over(along)
     }).where(
         (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n"))
@@ -92,34 +114,35 @@ def _narrowed(df, columns, searches, bins):
         replace(
             s, rank=s.rank - rows[k].before, low=rows[k].low, high=rows[k].high, size=rows[k].n,
             after=s.after if rows[k].after is None else rows[k].after,
+            cuts=None if one_by_one else tuple(rows[k].cuts),
         )
         for k, s in enumerate(searches)
     ]
 
 
-def _values_at(df, columns, searches, each, total, bins):
+def _values_at(df, columns, searches):
     """The pair of values of every search, in order."""
-    values = {}
-    pending = dict(enumerate(searches))
-    while pending:
+    values, pending = {}, dict(enumerate(searches))
+
+    def settle():
         for k in [k for k, s in pending.items() if s.low == s.high]:
-            values[k] = pending.pop(k).pair(None)
-        small, room = [], total
-        for k, s in sorted(pending.items(), key=lambda pair: pair[1].size):
-            if s.size <= each and s.size <= room:
-                small.append(k)
-                room -= s.size
-        if small:
-            found = _sorted_out(df, columns, [pending[k] for k in small])
-            values.update(zip(small, found))
-            pending = {k: s for k, s in pending.items() if k not in values}
-        if pending:
-            moved = _narrowed(df, columns, list(pending.values()), bins)
-            pending = dict(zip(pending, moved))
+            values[k] = pending.pop(k).pair()
+
+    def step(keys, move, *args):
+        if keys:
+            pending.update(zip(keys, move(df, columns, [pending[k] for k in keys], *args)))
+
+    settle()
+    while pending:
+        # Only the first pass, and a search whose sketch was off, lack a sketch.
+        step([k for k, s in pending.items() if s.cuts is None], _sketched)
+        step([k for k, s in pending.items() if not s.few()], _narrowed, False)
+        step([k for k, s in pending.items() if s.cuts is not None and s.few()], _narrowed, True)
+        settle()
     return [values[k] for k in range(len(searches))]
 
 
-def quantiles(df, columns, shares, facts=None, each=GATHER_EACH, total=GATHER_ALL, bins=BINS):
+def quantiles(df, columns, shares, facts=None):
     """Linearly interpolated quantiles: name -> list of values, None without values.
 
     ``columns`` maps names to numeric expressions over ``df``; ``facts`` passes
@@ -138,7 +161,7 @@ def quantiles(df, columns, shares, facts=None, each=GATHER_EACH, total=GATHER_AL
             at = (fact.n - 1) * share
             searches[name, share] = _Search(i, math.floor(at), fact.low, fact.high, fact.n)
             parts[name, share] = at - math.floor(at)
-    found = dict(zip(searches, _values_at(df, list(columns.values()), list(searches.values()), each, total, bins)))
+    found = dict(zip(searches, _values_at(df, list(columns.values()), list(searches.values()))))
 
     def value(key):
         if key not in found:

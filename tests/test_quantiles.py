@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from creditloom.operators import quantiles as Q
 from creditloom.operators.quantiles import quantiles
 
 SHARES = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
@@ -35,12 +36,17 @@ def frames():
     }
 
 
-@pytest.mark.parametrize("each,total,bins", [(50_000, 4_000_000, 1024), (1, 1, 4), (100, 1500, 64)])
-def test_quantiles_match_sorting(spark, each, total, bins):
+@pytest.mark.parametrize("settings", [
+    {}, {"CUTS": 10, "MARGIN": 1, "COUNTED": 200}, {"CUTS": 20, "ACCURACY": 5, "MARGIN": 0, "COUNTED": 10},
+])
+def test_quantiles_match_sorting(spark, settings, monkeypatch):
+    """With one pass over few values, with several sketches, and with sketches that are off."""
+    for name, value in settings.items():
+        monkeypatch.setattr(Q, name, value)
     data = frames()
     names = list(data)
     df = spark.createDataFrame(list(zip(*data.values())), ", ".join(f"{n} double" for n in names)).repartition(5)
-    found = quantiles(df, {n: F.col(n) for n in names}, SHARES, each=each, total=total, bins=bins)
+    found = quantiles(df, {n: F.col(n) for n in names}, SHARES)
     for n in names:
         assert found[n] == [expected(data[n], s) for s in SHARES], n
 
@@ -55,3 +61,19 @@ def test_infinite_values_are_refused(spark):
     df = spark.createDataFrame([(1.0,), (math.inf,)], "x double")
     with pytest.raises(ValueError, match="x"):
         quantiles(df, {"x": F.col("x")}, [0.5])
+
+
+def test_passes_follow_the_rows_not_the_values(spark, monkeypatch):
+    """A sketch and a count, whether values are spread over one or over six hundred orders of magnitude."""
+    passes = []
+    for name in ("_sketched", "_narrowed"):
+        step = getattr(Q, name)
+        monkeypatch.setattr(Q, name, lambda *args, step=step, name=name: passes.append(name) or step(*args))
+    df = spark.range(20_000).select(
+        (F.hash("id") / 2**31).alias("flat"), F.pow(F.lit(10.0), F.hash("id") / 2**31 * 300).alias("steep")
+    )
+    for name in df.columns:
+        passes.clear()
+        values = sorted(r[0] for r in df.select(name).collect())
+        assert quantiles(df, {name: F.col(name)}, SHARES)[name] == [expected(values, s) for s in SHARES]
+        assert passes == ["_sketched", "_narrowed"]
