@@ -9,7 +9,10 @@ shingle sets. Documents with equal sets are one node from the start.
 
 A first round looks at next neighbours in a few orders, which connects most of
 a group of copies; the second looks at several neighbours in all orders, but
-only across what is not connected yet, so a large group costs no more pairs.
+only across what is not connected yet. One confirmed pair connects two
+components, so pairs are confirmed in steps, the likeliest of each component
+first; what its links make pairs of one component is not looked at again. The
+sets compared then grow with the documents, not with the pairs of a group.
 
 Regions with more members than the neighbours cover, and of more than one
 component then, are searched exactly: their members are dealt out in blocks of
@@ -32,6 +35,9 @@ PARTS, DEPTH = 16, 6  # parts of a signature, and values in each
 ORDERS = 2 * PARTS  # by each part, and by the second half of each with the first half of the next
 LEAST_DEPTH = 2  # common values that make neighbours candidates; a pair of similarity 0.8 lacks them in all orders once in 10^7
 ROUNDS = ((4, 1), (ORDERS, 8))  # orders, and neighbours on either side
+# The steps of each round: one pair is confirmed for each value of these columns, or all that are left. A pair the
+# first round leaves out is found again in the second, which has its orders and neighbours too.
+STEPS = ((("a",),), (("low",), ("low", "high"), ()))
 ESTIMATE_SLACK = 0.25  # below the wanted similarity; five deviations of the sketch's estimate
 BLOCK_NODES, BLOCK_SHINGLES = 1000, 400_000  # of each of the two sides of a block
 BLOCK_COLUMNS = 2048  # shingles that are multiplied at a time
@@ -104,9 +110,9 @@ def signatures(df, shingle, doc, text):
 
 
 _ROW = "tree int, key binary, node long, size long, sketch binary, component long"
-_FOUND = f"a long, b long, part int, place long, {_ROW}"
+_FOUND = f"a long, b long, different int, part int, place long, {_ROW}"
 _KINDS = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-_NAMES = ["a", "b", "part", "place", "tree", "key", "node", "size", "sketch", "component"]
+_NAMES = ["a", "b", "different", "part", "place", "tree", "key", "node", "size", "sketch", "component"]
 
 
 def _least_equal(percent):
@@ -130,20 +136,25 @@ def _neighbours(percent, near, by_part):
                 & (component[x] != component[y])
             )
             bits = np.unpackbits(sketch[which] ^ sketch[which + step], axis=1).reshape(len(which), _VALUES, 2)
-            which = which[_VALUES - bits.any(2).sum(1) >= least_equal]
-            out.append((np.minimum(node[which], node[which + step]), np.maximum(node[which], node[which + step])))
+            different = bits.any(2).sum(1)
+            near_enough = _VALUES - different >= least_equal
+            which, different = which[near_enough], different[near_enough]
+            low, high = np.minimum(node[which], node[which + step]), np.maximum(node[which], node[which + step])
+            out.append((low, high, different))
         return [np.concatenate(c) for c in zip(*out)]
 
-    def of_pairs(a, b):
+    def of_pairs(a, b, different):
         empty = [pa.nulls(len(a), t) for t in (pa.int32(), pa.int64(), *_KINDS)]
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *empty], names=_NAMES)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(different, pa.int32()), *empty], names=_NAMES
+        )
 
     def of_ends(part, ends):
         none = pa.nulls(len(ends), pa.int64())
         place = pa.array(sorted(ends), pa.int64())
         rows = zip(*(ends[i] for i in sorted(ends)))
         return pa.RecordBatch.from_arrays(
-            [none, none, pa.array([part] * len(ends), pa.int32()), place,
+            [none, none, none.cast(pa.int32()), pa.array([part] * len(ends), pa.int32()), place,
              *(pa.array(c, t) for c, t in zip(rows, _KINDS))], names=_NAMES,
         )
 
@@ -184,10 +195,10 @@ def _in_orders(nodes, orders, length):
 
 
 def candidates(nodes, orders, near, percent, scratch, name):
-    """(a, b) of nodes of different components that are neighbours in one of the first ``orders`` orders.
+    """(a, b, different) of nodes of different components that are neighbours in one of the first ``orders`` orders.
 
     ``nodes``: node, n_shingles, keys, sketch, component. Each order is cut into
-    ranges, so a crowded region is spread over tasks. The few rows at the ends
+    ranges, so a crowded region is spread over tasks. ``different`` counts the values their sketches differ in. The few rows at the ends
     of the tasks' ranges meet those of the next range in a second scan.
     """
     rows = _in_orders(nodes, orders, _KEY)
@@ -199,7 +210,8 @@ def candidates(nodes, orders, near, percent, scratch, name):
     )
     across = map_batches(ends, _neighbours(percent, near, False), _FOUND)
     return scratch.keep(
-        found.where("part IS NULL").select("a", "b").union(across.select("a", "b")).distinct(), f"{name}_candidates"
+        found.where("part IS NULL").select("a", "b", "different").union(across.select("a", "b", "different")).distinct(),
+        f"{name}_candidates",
     )
 
 
@@ -372,6 +384,21 @@ def crowded_links(nodes, df, shingle, doc, text, percent, scratch):
     return scratch.keep(links.distinct(), "crowded_links")
 
 
+def _chosen(pairs, labels, tested, by):
+    """Of the pairs of different components that were not ``tested``: the one with the likest sketches per ``by``, or all."""
+    for end, component in (("a", "component_a"), ("b", "component_b")):
+        named = labels.select(F.col("node").alias(end), F.col("component").alias(component))
+        pairs = pairs.join(named, end, "left").withColumn(component, F.coalesce(component, end))
+    pairs = pairs.where("component_a <> component_b").withColumns({
+        "low": F.least("component_a", "component_b"), "high": F.greatest("component_a", "component_b")
+    })
+    if tested is not None:
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    if not by:
+        return pairs.select("a", "b")
+    return pairs.groupBy(*by).agg(F.min(F.struct("different", "a", "b")).alias("pair")).select("pair.a", "pair.b")
+
+
 def near_duplicates(df, shingle=5, percent=80, doc="doc_id", text="text", name="near_duplicates"):
     """Per row of ``df``: doc_id, n_shingles (long), component_id (long) and kept.
 
@@ -416,9 +443,15 @@ def near_duplicates(df, shingle=5, percent=80, doc="doc_id", text="text", name="
         return nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     for i, (orders, near) in enumerate(ROUNDS):
-        pairs = candidates(named(), orders, near, percent, scratch, f"round{i}")
-        links = links.union(confirmed(pairs, df, shingle, doc, text, percent, scratch, f"round{i}"))
-        labels = scratch.keep(components(links, scratch, f"round{i}_components"), f"round{i}_labels")
+        pairs, tested = candidates(named(), orders, near, percent, scratch, f"round{i}"), None
+        for k, by in enumerate(STEPS[i]):
+            step = f"round{i}_step{k}"
+            chosen = scratch.keep(_chosen(pairs, labels, tested, by), f"{step}_pairs")
+            if i and chosen.isEmpty():
+                break
+            links = links.union(confirmed(chosen, df, shingle, doc, text, percent, scratch, step))
+            tested = chosen if tested is None else tested.union(chosen)
+            labels = scratch.keep(components(links, scratch, f"{step}_components"), f"{step}_labels")
     more = crowded_links(scratch.keep(named(), "named"), df, shingle, doc, text, percent, scratch)
     if more is not None:
         labels = scratch.keep(components(links.union(more), scratch, "crowded_all"), "crowded_labels")
