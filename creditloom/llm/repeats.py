@@ -21,7 +21,7 @@ from creditloom.llm.scratch import Scratch
 from creditloom.llm.words import Words, covered, mixed, text_slices, window_hashes
 from creditloom.llm.workers import map_batches, map_groups
 
-CHUNK_BYTES = 8 << 20  # text of one chunk, one document at least
+CHUNK_BYTES = 3 << 20  # text of one chunk, one document at least
 RANGE_HASHES = 500_000  # hashes that one task compares at once, about
 SHORTEST_LEVEL = 8  # words; a shorter first level repeats by chance too often
 LEVEL_BITS = 48  # of a hash at the levels before the last, where an equal hash alone proves nothing
@@ -260,39 +260,41 @@ def _later(table):
     return _returned(ids, first[order], chunk_of[order], lost)
 
 
+def _kept_bytes(n, starts, ends, kept, between):
+    """A mask over ``n`` bytes from spans in order: ``kept`` says which spans stay, ``between`` whether the rest does."""
+    edges = np.empty(2 * len(starts) + 2, np.int64)
+    edges[0], edges[1:-1:2], edges[2:-1:2], edges[-1] = 0, starts, ends, n
+    flags = np.full(2 * len(starts) + 1, between)
+    flags[1::2] = kept
+    return np.repeat(flags, np.diff(edges))
+
+
 def _cut_texts(words, removed):
     """Per document: the text without the removed words and the white space after each, bytes."""
-    keep = np.ones(len(words.data), np.bool_)
-    following = np.append(words.starts[1:], len(words.data))
-    last = np.zeros(len(words), np.bool_)
-    last[words.first[1:][words.per_doc > 0] - 1] = True
-    stop = np.where(last, words.offsets[1:][words.doc], following) if len(words) else following[:0]
-    edge = np.zeros(len(words.data) + 1, np.int32)
-    np.add.at(edge, words.starts[removed], 1)
-    np.add.at(edge, stop[removed], -1)
-    keep &= np.cumsum(edge[:-1]) == 0
-    return _split(words.data, keep, words.offsets)
+    stop = np.append(words.starts[1:], len(words.data))
+    last = words.first[1:][words.per_doc > 0] - 1
+    stop[last] = words.offsets[1:][words.per_doc > 0]
+    return _split(words.data, _kept_bytes(len(words.data), words.starts, stop, ~removed, True), words.offsets)
 
 
 def _joined_words(words, kept):
     """Per document: the kept words joined by one space, bytes."""
-    data, keep = words.data.copy(), np.zeros(len(words.data) + 1, np.bool_)
-    edge = np.zeros(len(data) + 1, np.int32)
-    np.add.at(edge, words.starts[kept], 1)
-    np.add.at(edge, words.ends[kept], -1)
-    keep[:-1] = np.cumsum(edge[:-1]) > 0
+    data = words.data
+    keep = _kept_bytes(len(data), words.starts, words.ends, kept, False)
     which = np.flatnonzero(kept)
     if len(which) > 1:
         # A kept word that another of its document follows has white space after it.
         inner = words.ends[which[:-1]][words.doc[which[1:]] == words.doc[which[:-1]]]
         keep[inner] = True
+        data = data.copy()
         data[inner] = 0x20
-    return _split(data, keep[:-1], words.offsets)
+    return _split(data, keep, words.offsets)
 
 
 def _split(data, keep, offsets):
-    out, ends = data[keep].tobytes(), np.concatenate([[0], np.cumsum(keep)])[offsets]
-    return [out[a:b] for a, b in zip(ends, ends[1:])]
+    """The kept bytes of each document, one at a time."""
+    for a, b in zip(offsets, offsets[1:]):
+        yield data[a:b][keep[a:b]].tobytes()
 
 
 def dedup_substrings(df, length=20, doc="doc_id", text="text", name="substrings"):

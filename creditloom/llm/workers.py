@@ -2,6 +2,8 @@
 
 import os
 
+import pyarrow as pa
+
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -17,8 +19,13 @@ def _find_package(spark):
 
 def map_batches(df, function, schema):
     """``df.mapInArrow`` with workers that find this package."""
+    def run(batches):
+        yield from function(batches)
+        # Workers are used again and again; what one step held is of no use to the next.
+        pa.default_memory_pool().release_unused()
+
     _find_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
 
 
 def map_groups(df, key, function, schema):
