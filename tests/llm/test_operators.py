@@ -322,12 +322,30 @@ def test_encoding_by_pieces_equals_encoding_whole(path, with_space):
 
 
 def test_encoder_store_stays_small(monkeypatch):
-    monkeypatch.setattr(tokens, "STORED_PIECES", 5)
+    monkeypatch.setattr(tokens, "STORE_BYTES", 3000)
     encoder, whole = tokens.Encoder(WORD, False), Tokenizer.from_file(WORD)
-    text = prose(1, 200)
-    for _ in range(2):
+    for seed in (1, 2, 3, 2, 1, 3):
+        text = prose(seed, 200)
+        assert encoder.slice_ids(pa.array([text]))[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+        # one generation may pass the bound by the pieces of one slice
+        assert encoder.young.nbytes() < 3000 + 200 * 60 and encoder.old.nbytes() < 3000 + 200 * 60
+
+
+def test_stored_pieces_are_not_encoded_again(monkeypatch):
+    encoder = tokens.Encoder(BYTE, True)
+    text = pa.array([prose(1, 500)])
+    first = encoder.slice_ids(text)[0].tolist()
+    encode, sizes = encoder._encode, []
+    monkeypatch.setattr(encoder, "_encode", lambda data, n: sizes.append(len(n)) or encode(data, n))
+    assert encoder.slice_ids(text)[0].tolist() == first and sizes == [0]
+
+
+def test_pieces_with_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(tokens, "span_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    encoder, whole = tokens.Encoder(WORD, False), Tokenizer.from_file(WORD)
+    for seed in (1, 2, 1):
+        text = prose(seed, 200)
         assert encoder.slice_ids(pa.array([text]))[0].tolist() == whole.encode(text, add_special_tokens=False).ids
-    assert len(encoder.young) <= 5 and len(encoder.old) <= 5
 
 
 @pytest.mark.parametrize("n", [0, 1, 5, 4096, 9000])
