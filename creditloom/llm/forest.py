@@ -10,7 +10,7 @@ shingle sets. Documents with equal sets are one node from the start.
 A first round looks at next neighbours in a few orders, which connects most of
 a group of copies; the second looks at several neighbours in all orders, but
 only across what is not connected yet. One confirmed pair connects two
-components, so pairs are confirmed in steps, the likeliest of each component
+components, so pairs are confirmed in steps, the likeliest of two components
 first; what its links make pairs of one component is not looked at again. The
 sets compared then grow with the documents, not with the pairs of a group.
 
@@ -37,7 +37,7 @@ LEAST_DEPTH = 2  # common values that make neighbours candidates; a pair of simi
 ROUNDS = ((4, 1), (ORDERS, 8))  # orders, and neighbours on either side
 # The steps of each round: one pair is confirmed for each value of these columns, or all that are left. A pair the
 # first round leaves out is found again in the second, which has its orders and neighbours too.
-STEPS = ((("a",),), (("low",), ("low", "high"), ()))
+STEPS = ((("a",),), (("low", "high"), ()))
 ESTIMATE_SLACK = 0.25  # below the wanted similarity; five deviations of the sketch's estimate
 BLOCK_NODES, BLOCK_SHINGLES = 1000, 400_000  # of each of the two sides of a block
 BLOCK_COLUMNS = 2048  # shingles that are multiplied at a time
