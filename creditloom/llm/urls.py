@@ -1,7 +1,7 @@
 """URL filter: host suffixes and path prefixes looked up in a rule table by short hashes.
 
-Every distinct URL becomes the expressions a rule could be written as: each
-suffix of its host with each prefix of its path. Expressions meet the rules by
+Every distinct URL becomes the expressions that one of the rules could be
+written as: suffixes of its host with prefixes of its path. Expressions meet the rules by
 an equi-join on the first bytes of a digest, then the full digest confirms the
 match; of the confirmed rules the longest wins.
 """
@@ -30,6 +30,15 @@ def _digest(host, path):
     return F.sha2(F.concat(host, F.lit("\n"), path), 256)
 
 
+def _labels(host):
+    """How many labels a host has."""
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
+def _expressions(found):
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+
 def rule_table(spark, rules):
     """A DataFrame of ``(host, path, verdict)`` from plain tuples."""
     return spark.createDataFrame([tuple(r) for r in rules], "host string, path string, verdict string")
@@ -60,16 +69,15 @@ def judge_urls(df, rules, url="url", default="allow"):
             F.concat("host", "path").alias("rule"), F.col("verdict").alias("verdict"),
         ).alias("found"),
     ))
-    # Only prefixes as long as some rule's path can match; the lengths are as few as paths are short.
-    lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
-
-    labels = F.split("host", r"\.", -1)
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
-    prefixes = F.array_compact(F.array(*[
-        F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths
-    ])) if lengths else F.array().cast("array<string>")
+    # Only suffixes with as many labels as some rule's host and prefixes as long as some rule's path can match, so a
+    # URL gives no more expressions than the rules have shapes, however long it is.
+    shapes = rules.select(_labels(F.col("host")), F.length("path")).distinct().collect()
+    suffixes = _expressions([
+        F.when(_labels(F.col("host")) >= n, F.substring_index("host", ".", -n)) for n in sorted({r[0] for r in shapes})
+    ])
+    prefixes = _expressions([
+        F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in sorted({r[1] for r in shapes})
+    ])
     urls = df.select(F.col(url).alias("url")).where(F.col("url").isNotNull()).distinct().select(
         "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
     ).where("host <> ''")
