@@ -2,9 +2,12 @@
 
 Each rule looks at a few statistics of a text and votes good, bad, or abstains.
 How far each rule is to be trusted is not set by hand: expectation
-maximisation over the counts of vote patterns estimates, for good and for bad
-texts, how often each rule gives each vote. A text's posterior probability of
-being good follows from its votes, and replaces the rule that all must pass.
+maximisation over the counts of vote patterns, started from a weak belief in
+the rules, estimates for good and for bad texts how often each rule votes and how
+often such a vote is bad. The only thing asked of a rule is that it is no worse
+than chance; one that calls as many good texts bad as bad ones ends with no
+weight. A text's posterior probability of being good follows from its votes,
+and replaces the rule that all must pass.
 """
 
 import math
@@ -18,11 +21,12 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8  # words of the windows that count as repeated
 GOOD, BAD = 1, 0
 
-# Beliefs that EM starts from and stays within: some texts are bad, a rule catches some kind of them, and calls
-# few good texts bad.
-PRIOR_BAD, CATCHES, LEAST_CATCHES, MOST_FALSE = 0.15, 0.2, 0.05, 0.01
-BELIEF = 20.0  # texts that these beliefs count as
-ROUNDS = 300
+# What EM starts from: bad and good votes of a rule on good and on bad texts, its votes and abstentions on either, and
+# bad and good texts. These beliefs weigh as much as so many texts and bound nothing.
+BELIEF = {GOOD: (0.05, 4.95), BAD: (1.0, 4.0)}
+ABSTAINING = (1.0, 1.0)
+TEXTS = {GOOD: 4.0, BAD: 1.0}
+ROUNDS = 2000
 SETTLED = 1e-9
 
 
@@ -117,49 +121,62 @@ def _votes():
     return [F.when(bad, BAD).when(good, GOOD).cast("int").alias(f"v{i}") for i, (_, bad, good) in enumerate(rules())]
 
 
+def _log_odds(votes, prior, weights):
+    """Log odds for good of a text with these votes.
+
+    Abstentions count only beside a bad vote: a text that no rule speaks
+    against is not condemned for being of a kind that rules leave alone.
+    """
+    accused = BAD in votes
+    return prior + sum(
+        (w[vote] + (w["votes"] if accused else 0.0)) if vote is not None else (w[None] if accused else 0.0)
+        for w, vote in zip(weights, votes)
+    )
+
+
+def _weights(good, bad):
+    """Log odds for good of a rule's votes and abstentions, from its votes (bad, good, none) on good and on bad texts."""
+    (gb, gg, ga), (bb, bg, ba) = good, bad
+    (pb, pg), (qb, qg) = BELIEF[GOOD], BELIEF[BAD]
+    false, caught = (gb + pb) / (gb + gg + pb + pg), (bb + qb) / (bb + bg + qb + qg)
+    if caught < false:  # worse than chance: no better than chance
+        false = caught = (gb + bb + pb + qb) / (gb + gg + bb + bg + pb + pg + qb + qg)
+    votes, none = ABSTAINING
+    in_good, in_bad = ((b + g + votes) / (b + g + a + votes + none) for b, g, a in (good, bad))
+    return {
+        BAD: math.log(false / caught), GOOD: math.log((1 - false) / (1 - caught)),
+        "votes": math.log(in_good / in_bad), None: math.log((1 - in_good) / (1 - in_bad)),
+    }
+
+
 def estimate(patterns, n_rules):
-    """(prior of good, per rule and vote the log odds for good) by expectation maximisation.
+    """(share of good texts, per rule the log odds for good of its outcomes) by expectation maximisation.
 
     ``patterns`` are (votes, count) with votes GOOD, BAD or None; there are at
-    most three to the power of the number of rules.
+    most three to the power of the number of rules. Outcomes are GOOD, BAD,
+    None (it abstains) and "votes" (it does not); see ``_log_odds``. Without
+    patterns the beliefs are returned.
     """
-    bad_vote = [{GOOD: MOST_FALSE, BAD: CATCHES} for _ in range(n_rules)]  # chance of a bad vote in either class
-    good_share = 1 - PRIOR_BAD
-
-    def posterior(votes):
-        odds = math.log(good_share / (1 - good_share))
-        for chance, vote in zip(bad_vote, votes):
-            if vote == BAD:
-                odds += math.log(chance[GOOD] / chance[BAD])
-            elif vote == GOOD:
-                odds += math.log((1 - chance[GOOD]) / (1 - chance[BAD]))
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
-
+    weights = [_weights((0, 0, 0), (0, 0, 0))] * n_rules
+    share = TEXTS[GOOD] / (TEXTS[GOOD] + TEXTS[BAD])
+    total = sum(count for _, count in patterns)
     for _ in range(ROUNDS):
-        good = bad = 0.0
-        hits = [[0.0, 0.0, 0.0, 0.0] for _ in range(n_rules)]  # bad and all votes of good texts, then of bad ones
+        old = [share, *(x for w in weights for x in w.values())]
+        prior, good = math.log(share / (1 - share)), 0.0
+        tally = [{GOOD: [0.0] * 3, BAD: [0.0] * 3} for _ in range(n_rules)]
         for votes, count in patterns:
-            p = posterior(votes)
+            p = 1 / (1 + math.exp(-max(-700.0, min(700.0, _log_odds(votes, prior, weights)))))
             good += p * count
-            bad += (1 - p) * count
-            for h, vote in zip(hits, votes):
-                if vote is not None:
-                    h[1] += p * count
-                    h[3] += (1 - p) * count
-                    if vote == BAD:
-                        h[0] += p * count
-                        h[2] += (1 - p) * count
-        old = [good_share, *(c for chance in bad_vote for c in chance.values())]
-        good_share = (good + BELIEF * (1 - PRIOR_BAD)) / (good + bad + BELIEF)
-        for chance, (gb, g, bb, b) in zip(bad_vote, hits):
-            chance[GOOD] = min(MOST_FALSE, (gb + BELIEF * MOST_FALSE / 2) / (g + BELIEF))
-            chance[BAD] = max(LEAST_CATCHES, (bb + BELIEF * CATCHES) / (b + BELIEF))
-        new = [good_share, *(c for chance in bad_vote for c in chance.values())]
+            for t, vote in zip(tally, votes):
+                at = 2 if vote is None else vote
+                t[GOOD][at] += p * count
+                t[BAD][at] += (1 - p) * count
+        share = (good + TEXTS[GOOD]) / (total + TEXTS[GOOD] + TEXTS[BAD])
+        weights = [_weights(t[GOOD], t[BAD]) for t in tally]
+        new = [share, *(x for w in weights for x in w.values())]
         if max(abs(a - b) for a, b in zip(old, new)) < SETTLED:
             break
-    return good_share, [
-        {BAD: math.log(c[GOOD] / c[BAD]), GOOD: math.log((1 - c[GOOD]) / (1 - c[BAD]))} for c in bad_vote
-    ]
+    return share, weights
 
 
 def judge_quality(df, text="text", keep_at=0.5, with_text=True):
@@ -176,28 +193,35 @@ def judge_quality(df, text="text", keep_at=0.5, with_text=True):
     columns of ``df`` (without ``text`` if ``with_text`` is false). Then vote
     patterns are counted, of which at most 3^7 reach the driver, and the verdict
     is one projection. NULL counts as an empty text and is not kept. No row is
-    dropped; repeated rows get equal verdicts. Input columns named like a result column are replaced.
+    dropped; repeated rows get equal verdicts. Input columns named like a result column are replaced,
+    all others pass unchanged whatever their names.
     """
     results = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                "good_probability", "kept")
     n_rules = len(rules())
     names = [f"v{i}" for i in range(n_rules)]
-    given = [c for c in df.columns if c.lower() not in results and not c.lower().startswith("q_") or c == text]
-    stats = with_statistics(df.select(*[df[f"`{c}`"] for c in given]), text)
+    given = [c for c in df.columns if c.lower() not in results or c == text]
+    # Under names of their own the given columns cannot clash with the statistics.
+    own = {c: f"c{i}" for i, c in enumerate(given)}
+    stats = with_statistics(df.select(*[df[f"`{c}`"].alias(own[c]) for c in given]), own[text])
     if not with_text:
         given.remove(text)
-        stats = stats.drop(text)
+        stats = stats.drop(own[text])
     stats = Scratch(df.sparkSession, "quality").keep(stats, "statistics")
     failed = (F.col("q_n_words") < 20) | (100 * F.col("q_repeat_words") > 30 * F.col("q_n_words"))
     # The base rule decides alone about what it fails; the votes are about the rest.
     counted = stats.where(~failed).select(*_votes()).groupBy(*names).count().collect()
     good_share, weights = estimate([(tuple(r[n] for n in names), r["count"]) for r in counted], n_rules)
-    odds = F.lit(math.log(good_share / (1 - good_share)))
-    for vote, weight in zip(_votes(), weights):
+    votes = _votes()
+    odds, silence = F.lit(math.log(good_share / (1 - good_share))), F.lit(0.0)
+    for vote, weight in zip(votes, weights):
         odds = odds + F.when(vote == BAD, weight[BAD]).when(vote == GOOD, weight[GOOD]).otherwise(0.0)
+        silence = silence + F.when(vote.isNull(), weight[None]).otherwise(weight["votes"])
+    accused = F.array_contains(F.array_compact(F.array(*votes)), BAD)
+    odds = odds + F.when(accused, silence).otherwise(0.0)
     probability = 1 / (1 + F.exp(-odds))
     return stats.select(
-        *[F.col(f"`{c}`") for c in given],
+        *[F.col(own[c]).alias(c) for c in given],
         F.col("q_n_words").alias("n_words"), F.col("q_chars").alias("word_chars"),
         F.col("q_symbols").alias("n_symbols"), F.col("q_dup_lines").alias("n_dup_lines"),
         F.col("q_repeat_words").alias("n_repeat_words"), failed.alias("base_failed"),

@@ -1,6 +1,9 @@
 """Every operator against plain loops, on whole small tables and odd texts."""
 
+import itertools
+import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -62,6 +65,53 @@ def test_estimate_follows_expectation_maximisation():
     assert 0.5 < share < 1 and all(w[quality.BAD] < 0 < w[quality.GOOD] for w in weights)
 
 
+def planted(share, false, caught, abstains):
+    """Exact counts of the vote patterns of 20,000 texts, from what each rule does on good and on bad texts."""
+    counts = []
+    for votes in itertools.product((quality.GOOD, quality.BAD, None), repeat=len(false)):
+        count = 0.0
+        for part, chances in ((share, false), (1 - share, caught)):
+            for vote, c in zip(votes, chances):
+                part *= abstains if vote is None else (1 - abstains) * (c if vote == quality.BAD else 1 - c)
+            count += part
+        counts.append((votes, 20_000 * count))
+    return counts
+
+
+@pytest.mark.parametrize("share, false, caught", [
+    (0.8, [0.02, 0.05, 0.1, 0.3], [0.8, 0.6, 0.7, 0.3]),
+    (0.7, [0.15, 0.05, 0.1, 0.2], [0.8, 0.6, 0.7, 0.9]),
+])
+def test_planted_accuracies_are_recovered(share, false, caught):
+    found, weights = quality.estimate(planted(share, false, caught, 0.1), len(false))
+    assert abs(found - share) < 0.01
+    for weight, f, c in zip(weights, false, caught):
+        assert abs(weight[quality.BAD] - math.log(f / c)) < 0.05
+        assert abs(weight[quality.GOOD] - math.log((1 - f) / (1 - c))) < 0.05
+
+
+def test_a_rule_at_chance_has_no_say():
+    """With two informative rules only, votes do not settle the share to the point; it must come out near it."""
+    found, weights = quality.estimate(planted(0.9, [0.02, 0.02, 0.3], [0.8, 0.8, 0.3], 0.1), 3)
+    assert abs(found - 0.9) < 0.06 and abs(weights[2][quality.BAD]) < 0.01 > abs(weights[2][quality.GOOD])
+    assert all(w[quality.BAD] < -3 for w in weights[:2])
+
+
+def test_texts_that_no_rule_speaks_against_are_good():
+    patterns = [((1,) * 7, 7830), ((None, 1, 1, 1, 1, 1, None), 1630), ((1, 1, 1, None, None, 1, 1), 295),
+                ((1, None, 0, 1, 1, 1, 1), 90), ((1, 1, 1, 0, 0, 1, 0), 20)]
+    share, weights = quality.estimate(patterns, 7)
+    good = [quality._log_odds(votes, math.log(share / (1 - share)), weights) > 0 for votes, _ in patterns]
+    assert good == [True, True, True, False, False]
+
+
+def test_quality_columns_of_the_input_stay(spark):
+    df = spark.createDataFrame([(1, prose(1, 60), "a", 2, "b")], "doc_id bigint, text string, q_source string, v0 int, c1 string")
+    out = quality.judge_quality(df)
+    assert tuple(out.select("q_source", "v0", "c1", "kept").first()) == ("a", 2, "b", True)
+    assert "text" not in quality.judge_quality(df, with_text=False).columns
+
+
 def test_clean_texts_alone_are_kept(spark):
     out = quality.judge_quality(spark.createDataFrame([(i, prose(i, 60)) for i in range(20)], DOCS))
     assert out.where("kept").count() == 20
@@ -306,6 +356,16 @@ def test_url_rules(spark):
     assert sorted(got, key=str) == sorted((expected(u) for u in data * 2), key=str)
 
 
+def test_long_hosts_give_as_many_expressions_as_rules_have_shapes(spark):
+    long = "https://" + "a." * 50_000 + "example.com/en/x"
+    df = spark.createDataFrame([(long,), ("http://" + "b." * 50_000 + "com",)], "url string")
+    table = urls.rule_table(spark, [("example.com", "/en/", "block"), ("net", "/", "block")])
+    start = time.time()
+    got = {r.url: (r.rule, r.verdict) for r in urls.judge_urls(df, table).collect()}
+    assert got[long] == ("example.com/en/", "block") and len(got) == 2
+    assert sum(rule is None for rule, _ in got.values()) == 1 and time.time() - start < 30
+
+
 # Tokens
 
 ODD_TEXTS = [t or "" for _, t in odd_documents()[:14]] + [

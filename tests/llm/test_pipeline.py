@@ -8,6 +8,7 @@ import brute
 import corpus_pipeline
 from compare import connect, differences
 from creditloom.llm import quality, queries
+from fixtures import prose
 from test_operators import check_packing, star_family
 
 FOLDER = "/root/testdata/sf0.001"
@@ -56,6 +57,27 @@ def test_one_document_of_a_star_of_many_copies_stays(spark):
     assert sorted(pairs(single)) == [(d, t) for d, t in data if groups[d][1] == d] == data[:1]
 
 
+def test_stages_on_odd_rows(spark):
+    """Nulls, repeated rows and columns named like the results of operators."""
+    text = prose(1, 80)
+    data = [(1, text, "a", 7, "x", 1), (1, text, "a", 7, "x", 1), (2, None, None, None, None, None), (3, "", "b", 1, "y", 0)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, q_source string, n_words int, kept string, n_hit int")
+    stages = dict(corpus_pipeline.STAGES)
+    stay = {"quality_rules": data[:2], "near_dedup": data, "decontamination": data}
+    for name, wanted in stay.items():
+        out = stages[name](spark, docs, FOLDER)
+        assert out.columns == docs.columns and sorted(map(tuple, out.collect()), key=str) == sorted(wanted, key=str), name
+    cut = stages["substring_dedup"](spark, docs, FOLDER)
+    assert cut.columns == docs.columns and cut.count() == len(data)
+    assert sorted(map(str, ((r.q_source, r.n_words, r.kept) for r in cut.collect()))) == sorted(str(r[2:5]) for r in data)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_an_empty_table(spark, name):
+    docs = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert dict(corpus_pipeline.STAGES)[name](spark, docs, FOLDER).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_equals_sql(spark, name):
     assert differences(queries.QUERIES[name](spark, FOLDER), connect(FOLDER), queries.SQL[name]) == ""
