@@ -7,29 +7,52 @@ from creditloom.llm import decontaminate, forest, packing, quality, repeats
 from creditloom.llm.scratch import Scratch
 
 PASSAGE_WORDS = 50  # shortest passage that is cut where it repeats
+READ = ("doc_id", "text")  # columns that operators read
+
+
+def _apart(docs):
+    """``docs`` with columns that operators do not read under names that clash with none of their results."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in READ else f"own_{i}") for i, c in enumerate(docs.columns)])
+
+
+def _back(result, docs):
+    """The columns of ``docs`` from a result over ``_apart(docs)``."""
+    return result.select(*[F.col(c if c in READ else f"own_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Documents that the rules, weighed by their estimated accuracies, call good."""
-    return quality.judge_quality(docs).where("kept").select(*docs.columns)
+    """Documents that the rules, weighed by their estimated accuracies, call good; those without words go.
+
+    Repeated rows share a verdict. Columns pass unchanged, also those named like an operator's result.
+    """
+    return _back(quality.judge_quality(_apart(docs)).where("kept"), docs)
 
 
 def near_dedup(spark, docs, sf_dir):
-    """One document, that with the smallest id, of each group with similar five-word shingles; those without id stay."""
+    """One document, that with the smallest id, of each group with similar five-word shingles.
+
+    Documents without id or words stay, as do all rows of a kept id. Columns pass unchanged.
+    """
     gone = forest.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def substring_dedup(spark, docs, sf_dir):
-    """All documents, with passages that also occur earlier cut out."""
-    cut = repeats.dedup_substrings(docs, PASSAGE_WORDS)
-    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    """All documents, with passages that also occur earlier cut out.
+
+    Where there is a column ``n_chars`` it is counted anew; other columns pass unchanged.
+    """
+    cut = _back(repeats.dedup_substrings(_apart(docs), PASSAGE_WORDS), docs)
+    return cut.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else cut
 
 
 def decontamination(spark, docs, sf_dir):
-    """Documents with under five percent of their words in benchmark passages."""
+    """Documents with under five percent of their words in benchmark passages; those without words stay.
+
+    Repeated rows share a verdict. Columns pass unchanged, also those named like an operator's result.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.find_overlaps(docs, benchmark).where("NOT contaminated").select(*docs.columns)
+    return _back(decontaminate.find_overlaps(_apart(docs), benchmark).where("NOT contaminated"), docs)
 
 
 def best_fit_packing(spark, docs, sf_dir):
