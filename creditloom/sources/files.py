@@ -19,6 +19,8 @@ NULL_TOKENS = [
 ]
 # A quote inside a quoted cell is doubled, as spreadsheets and data frames write it.
 CSV_QUOTES = {"quote": '"', "escape": '"'}
+# Cells are written with the blanks and line breaks at their ends.
+CSV_WHOLE_CELLS = {**CSV_QUOTES, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def _present(name):
@@ -58,6 +60,23 @@ def infer_kinds(raw, names):
     return {name: kind(i) for i, name in enumerate(names)}
 
 
+def csv_text(spark, path):
+    """Header CSV with every cell as text; quoted cells may hold line breaks.
+
+    A record spans lines in just those files that have a line with an odd number
+    of quotes, which one scan of the lines finds. These files are parsed whole, a
+    task each; the others can be split.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    found = spark.read.text(path).where(quotes % 2 == 1).select("_metadata.file_path").distinct().collect()
+    if not found:
+        return spark.read.csv(path, header=True, **CSV_QUOTES)
+    spanning = F.col("_metadata.file_path").isin([row.file_path for row in found])
+    whole = spark.read.csv(path, header=True, multiLine=True, **CSV_QUOTES)
+    lines = spark.read.schema(whole.schema).csv(path, header=True, **CSV_QUOTES)
+    return lines.where(~spanning).unionByName(whole.where(spanning))
+
+
 def read_csv(spark, path, schema=None, columns=None):
     """Header CSV to a DataFrame with NULL as the only missing value.
 
@@ -65,7 +84,7 @@ def read_csv(spark, path, schema=None, columns=None):
     to the schema's types. Columns the schema does not name stay text. Without a
     schema the types are inferred from the cells that are left. Column selection reaches the scan.
     """
-    raw = spark.read.csv(path, header=True, **CSV_QUOTES)
+    raw = csv_text(spark, path)
     wanted = columns or raw.columns
     kinds = infer_kinds(raw, wanted) if schema is None else {f.name: f.dataType for f in schema}
 
@@ -142,7 +161,7 @@ def slim(df):
 
 
 def write_csv(df, path):
-    df.write.mode("overwrite").csv(path, header=True, **CSV_QUOTES)
+    df.write.mode("overwrite").csv(path, header=True, **CSV_WHOLE_CELLS)
 
 
 def export_slim(df, path):
@@ -155,7 +174,7 @@ def export_full(df, path, drop=("SET", CUSTOMER)):
 
 def load_typed(spark, csv_path, table, path):
     """Load the slim CSV with its declared types into a catalog table, replacing an older one."""
-    raw = spark.read.csv(csv_path, header=True, **CSV_QUOTES)
+    raw = csv_text(spark, csv_path)
     raw = raw.toDF(*[name.lower() for name in raw.columns])
     typed = raw.select([
         (whole_number(col(f.name), f.dataType, f.name) if isinstance(f.dataType, T.IntegralType)

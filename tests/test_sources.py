@@ -92,3 +92,27 @@ def test_csv_cells(spark, tmp_path):
 def test_parquet_inputs_have_null_for_nan(spark, tmp_path):
     spark.createDataFrame([(1, float("nan")), (2, 1.0)], "k int, x double").write.parquet(str(tmp_path / "t"))
     assert {r.k: r.x for r in files.read_table(spark, str(tmp_path / "t")).collect()} == {1: None, 2: 1.0}
+
+
+def test_line_breaks_inside_quoted_cells(spark, tmp_path):
+    data = [(i, f"plain {i}", i / 4) for i in range(40)]
+    odd = [(100, "a\nb", 2.5), (101, 'say "x",\n\n"y"\n', 0.5), (102, "one\n,\ntwo", None), (103, None, 1.0)]
+    schema = "k int, note string, x double"
+    path = str(tmp_path / "cells")
+    files.write_csv(spark.createDataFrame(data, schema).coalesce(2), path)
+    before = files.csv_text(spark, path)
+    assert before.count() == len(data) and "multiLine" not in str(before._jdf.queryExecution().analyzed())
+    spark.createDataFrame(odd, schema).coalesce(1).write.mode("append").csv(path, header=True, **files.CSV_WHOLE_CELLS)
+    for kinds in (None, spark.createDataFrame([], schema).schema):
+        out = files.read_csv(spark, path, kinds)
+        assert sorted(map(tuple, out.collect())) == data + odd
+        assert out.where("k >= 100").count() == 4 and out.select("x").count() == 44
+
+
+def test_only_files_with_spanning_records_are_parsed_whole(spark, tmp_path):
+    for name, body in (("a", "k,note\n1,x\n2,y\n"), ("b", 'k,note\n3,"p\nq"\n')):
+        (tmp_path / f"{name}.csv").write_text(body)
+    out = files.csv_text(spark, str(tmp_path))
+    seen = out.select("k", "note", F.spark_partition_id().alias("part")).collect()
+    assert {(r.k, r.note) for r in seen} == {("1", "x"), ("2", "y"), ("3", "p\nq")}
+    assert len({r.part for r in seen if r.k != "3"} & {r.part for r in seen if r.k == "3"}) == 0
