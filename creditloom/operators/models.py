@@ -3,7 +3,7 @@
 import os
 from datetime import datetime
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
@@ -85,15 +85,48 @@ def _imputer(fill):
     return SQLTransformer(statement=f"SELECT * EXCEPT ({names}), {full} FROM __THIS__")
 
 
-def learner(name, fill, label, total_weight, rows, seed=S.SEED, **overrides):
+class MedianFill(Estimator):
+    """Fits the exact medians of the features over the rows it is given; 0 for a feature without values.
+
+    The fitted stage is a projection that is stored with the model.
+    """
+
+    def __init__(self, features):
+        super().__init__()
+        self.features = list(features)
+
+    def _fit(self, dataset):
+        return _imputer(fill_values(dataset, self.features))
+
+
+class WeightedLearner(Estimator):
+    """Fits a learner with class weights, and the penalty that goes with them, from the rows it is given."""
+
+    def __init__(self, name, label=S.LABEL, seed=S.SEED, overrides=None):
+        super().__init__()
+        self.name, self.label, self.seed, self.overrides = name, label, seed, overrides or {}
+
+    def estimator(self, total_weight, rows):
+        return _estimator(self.name, self.label, total_weight, rows, self.seed, self.overrides)
+
+    def _fit(self, dataset):
+        rows, total_weight, n = weighted(dataset, self.label, LEARNERS[self.name]["weights"])
+        return self.estimator(total_weight, n).fit(rows)
+
+
+def learner(name, features, label=S.LABEL, seed=S.SEED, vectors=(), **overrides):
     """Imputer, assembler, scaler where the learner needs one, and the learner as one Spark ML workflow.
 
-    ``fill`` maps the features to the values that stand for missing ones.
+    Fill values and class weights are fitted with it, so a validation refits them on the rows of
+    each fold. ``vectors`` are columns of sparse flags, placed behind the features.
     """
-    stages = [_imputer(fill), VectorAssembler(inputCols=[quoted(c) for c in fill], outputCol=FEATURES)]
+    inputs = [quoted(c) for c in [*features, *vectors]]
+    stages = [MedianFill(features)] if features else []
+    stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES))
     if name == "logistic":
-        stages.append(StandardScaler(inputCol=FEATURES, outputCol="_scaled", withMean=True, withStd=True))
-    return Pipeline(stages=[*stages, _estimator(name, label, total_weight, rows, seed, overrides)])
+        # centring would fill every zero of sparse flags; the intercept takes up the means
+        stages.append(StandardScaler(inputCol=FEATURES, outputCol="_scaled", withMean=not vectors, withStd=True))
+    return Pipeline(stages=[*stages, WeightedLearner(name, label, seed, overrides)])
 
 
 def fill_values(df, features):
@@ -101,20 +134,20 @@ def fill_values(df, features):
     return {c: m if m is not None else 0.0 for c, m in medians(df, {c: col(c) for c in features}).items()}
 
 
-def fit_model(name, df, features, label=S.LABEL, seed=S.SEED, most_rows=None, **overrides):
+def fit_model(name, df, features, label=S.LABEL, seed=S.SEED, most_rows=None, key=S.CUSTOMER, vectors=(), **overrides):
     """Fit a learner on rows that may miss features. Overrides replace single hyperparameters.
 
     ``most_rows`` bounds the labelled rows to train on, drawn by a hash of their
-    values; without it all rows are used. Small inputs are gathered into few
+    key; without it all rows are used. Small inputs are gathered into few
     partitions, as boosting runs thousands of short stages.
     """
-    rows = df.where(F.col(label).isNotNull()).select(label, *[col(c) for c in features])
+    rows = df.where(F.col(label).isNotNull())
     if most_rows is not None:
-        rows = rows.orderBy(F.xxhash64(*[col(c) for c in rows.columns])).limit(most_rows)
-    fill = fill_values(rows, features)
-    rows, total_weight, n = weighted(rows, label, LEARNERS[name]["weights"])
+        rows = sample_rows(rows, most_rows, key, seed)
+    rows = rows.select(label, *[col(c) for c in [*features, *vectors]])
+    n = rows.count()
     rows = rows.coalesce(max(1, -(-n // ROWS_PER_PARTITION)))
-    return learner(name, fill, label, total_weight, n, seed, **overrides).fit(rows)
+    return learner(name, features, label, seed, vectors, **overrides).fit(rows)
 
 
 def _features(model):
@@ -156,33 +189,38 @@ def feature_importance(model, k=S.TOP_IMPORTANCES):
     """The k most important features: impurity importance, or absolute coefficient."""
     last = model.stages[-1]
     values = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-    names = _features(model)
-    rows = [(unquoted(name), abs(float(v))) for name, v in zip(names, values.toArray())]
+    names = [unquoted(name) for name in _features(model)]
+    if len(values) > len(names):  # the last input is a vector of flags
+        names[-1:] = [f"{names[-1]}_{i}" for i in range(len(values) - len(names) + 1)]
+    rows = [(name, abs(float(v))) for name, v in zip(names, values.toArray())]
     return small_table(SparkSession.active(), rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     ).limit(k)
 
 
-def cross_validate(
+def validated(
     name, df, features, key=S.CUSTOMER, label=S.LABEL, folds=S.CV_FOLDS, rows=S.CV_SAMPLE_ROWS,
-    seed=S.SEED, parallelism=1, **overrides,
+    seed=S.SEED, parallelism=1, keep_models=False, **overrides,
 ):
-    """Mean and population deviation of the area under the ROC curve over stratified folds of a sample."""
+    """Spark ML's validation over stratified folds of a sample.
+
+    The whole workflow is fitted on each fold's own rows: medians, class weights, scaler and learner.
+    """
     sample = sample_rows(df.where(F.col(label).isNotNull()), rows, key, seed)
     sample = sample.withColumn("_fold", fold_column(sample, key, label, folds, seed + 1)).select(
         label, "_fold", *[col(c) for c in features]
     )
-    sample, total_weight, n = weighted(sample, label, LEARNERS[name]["weights"])
-    # each fit sees all folds but one
-    kept = (folds - 1) / folds
-    workflow = learner(name, fill_values(sample, features), label, total_weight * kept, n * kept, seed, **overrides)
-    validator = CrossValidator(
-        estimator=workflow,
+    return CrossValidator(
+        estimator=learner(name, features, label, seed, **overrides),
         estimatorParamMaps=ParamGridBuilder().build(),
         evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0),
-        numFolds=folds, foldCol="_fold", seed=seed, parallelism=parallelism,
-    )
-    fitted = validator.fit(sample)
+        numFolds=folds, foldCol="_fold", seed=seed, parallelism=parallelism, collectSubModels=keep_models,
+    ).fit(sample)
+
+
+def cross_validate(name, df, features, folds=S.CV_FOLDS, **given):
+    """Mean and population deviation of the area under the ROC curve over stratified folds of a sample."""
+    fitted = validated(name, df, features, folds=folds, **given)
     return small_table(
         df.sparkSession, [(name, folds, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))],
         "model string, folds int, auc_mean double, auc_std double",

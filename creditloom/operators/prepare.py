@@ -18,7 +18,7 @@ from creditloom.operators.profile import distinct_values, missing_counts, numeri
 from creditloom.operators.quantiles import medians, quantiles
 
 MISSING_CLASS = "None"
-MAX_CATEGORIES = 20_000
+DENSE_CATEGORIES = 1000  # columns of more values become a sparse vector of flags
 
 
 @dataclass
@@ -26,7 +26,9 @@ class Preparation:
     """Fitted facts: columns kept, category codes, fill values and caps.
 
     ``filled`` lists the columns that missed values when fitted; ``medians`` has
-    a value for every kept number, as later rows may miss others.
+    a value for every kept number, as later rows may miss others. ``wide`` are text
+    columns of very many values: they pass the matrix as they are, for
+    ``categories.flag_vectors`` to turn into one sparse vector.
     """
 
     numeric: list = field(default_factory=list)
@@ -36,6 +38,7 @@ class Preparation:
     medians: dict = field(default_factory=dict)
     filled: list = field(default_factory=list)
     caps: dict = field(default_factory=dict)
+    wide: list = field(default_factory=list)
 
     def to_json(self):
         return json.dumps(asdict(self))
@@ -91,24 +94,29 @@ def plain_types(df):
     return df.select([plain(f) for f in df.schema])
 
 
-def fit_encoding(df, label=S.LABEL, limit=MAX_CATEGORIES):
+def fit_encoding(df, label=S.LABEL, dense=DENSE_CATEGORIES):
     """Categories of every string column: up to two distinct values give codes, more give flags.
 
-    One job. The categories become columns, so their number is bounded by what a
-    table can hold; above ``limit`` in total the fit stops and names the columns.
+    Flags of up to ``dense`` values are columns. Columns of more values are ``wide``: their
+    values are never gathered. A sketch of distinct values leaves out those of twice as many, so
+    what the driver sees is bounded by the number of columns.
     """
     df = plain_types(df)
     names = string_columns(df, without=S.NOT_FEATURES + [label])
     fitted = Preparation(numeric=numeric_columns(df, without=S.NOT_FEATURES + [label]))
     if not names:
         return fitted
-    found = distinct_values(df, names).select("i", "value").limit(limit + 1).collect()
-    values = {name: {row.value for row in found if row.i == i} for i, name in enumerate(names)}
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} categories in: {[c for c in names if len(values[c]) > 100]}")
+    about = {r.i: r.n for r in stacked(df, [col(c) for c in names]).groupBy("i").agg(
+        F.approx_count_distinct("x", 0.02).alias("n")).collect()}
+    few = [c for i, c in enumerate(names) if about.get(i, 0) <= 2 * dense]
+    values = {name: set() for name in few}
+    for row in distinct_values(df, few).select("i", "value").collect() if few else []:
+        values[few[row.i]].add(row.value)
     for name in names:
-        present = sorted(values[name] - {None})
-        if len(present) > 2:
+        present = sorted(values.get(name, set()) - {None})
+        if name not in values or len(present) > dense:
+            fitted.wide.append(name)
+        elif len(present) > 2:
             fitted.one_hot[name] = present
         else:
             extra = {MISSING_CLASS} if None in values[name] else set()
@@ -150,10 +158,10 @@ def _filled(fitted, name):
 
 
 def encode(df, fitted, keep=(S.CUSTOMER, S.SET, S.LABEL)):
-    """Strings as numbers: one projection, keys and label kept beside the matrix."""
+    """Strings as numbers: one projection, keys and label kept beside the matrix, wide columns as they are."""
     df = plain_types(df)
     kept = [col(c) for c in keep if c in df.columns]
-    return df.select(*kept, *[e.alias(name) for name, e in fitted.encoded()])
+    return df.select(*kept, *[e.alias(name) for name, e in fitted.encoded()], *[col(c) for c in fitted.wide])
 
 
 def drop_sparse(df, fitted):

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from creditloom.operators import models
+from creditloom.operators import categories, models, sampling
 
 
 def solve(x, y, w):
@@ -42,7 +42,7 @@ def test_default_hyperparameters():
         "boosted_a": {"maxIter": 400, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8},
         "boosted_b": {"maxIter": 600, "maxDepth": 7, "stepSize": 0.03},
     }.items():
-        last = models.learner(name, {"a": 0.0}, "TARGET", 10.0, 10).getStages()[-1]
+        last = models.learner(name, ["a"]).getStages()[-1].estimator(10.0, 10)
         assert {k: last.getOrDefault(k) for k in expected} == expected
 
 
@@ -62,6 +62,37 @@ def test_cross_validation(spark):
     assert row.folds == 5 and 0.8 < row.auc_mean <= 1 and row.auc_std >= 0
 
 
+def test_each_fold_has_medians_and_weights_of_its_own(spark):
+    rows = [(i, int(i % 4 == 0), float(i)) for i in range(120)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, a double")
+    fitted = models.validated("logistic", df, ["a"], rows=120, keep_models=True, maxIter=5)
+    whole = fitted.bestModel.stages[0].getStatement()
+    folds = [m[0].stages[0].getStatement() for m in fitted.subModels]
+    assert "59.5D" in whole and len(folds) == 5
+    folded = sampling.sample_rows(df, 120, "SK_ID_CURR", models.S.SEED)
+    folded = folded.withColumn("f", sampling.fold_column(folded, "SK_ID_CURR", "TARGET", 5, models.S.SEED + 1)).collect()
+    for i, statement in enumerate(folds):
+        kept = sorted(r.a for r in folded if r.f != i)
+        median = (kept[(len(kept) - 1) // 2] + kept[len(kept) // 2]) / 2
+        assert f"{median!r}D" in statement
+    assert len(set(folds)) > 1
+
+
+def test_models_take_vectors_of_flags(spark, tmp_path):
+    rows = [(i, int(i % 7 < 3), float(i % 5), f"v{i % 7}") for i in range(140)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, a double, s string")
+    found = categories.fit_categories(df, ["s"], str(tmp_path / "fit"))
+    flagged = categories.flag_vectors(df, found, str(tmp_path / "rows"))
+    for name in ("logistic", "forest"):
+        given = {"numTrees": 10} if name == "forest" else {}
+        model = models.fit_model(name, flagged, ["a"], vectors=["flags"], **given)
+        model = models.load_model(models.save_model(model, name, str(tmp_path)))
+        scored = models.score_rows(model, flagged, label="TARGET").collect()
+        assert all((r.score > 0.5) == (r.label == 1) for r in scored)
+    names = {r.feature for r in models.feature_importance(model, k=20).collect()}
+    assert names == {"a", *[f"flags_{i}" for i in range(6)]}
+
+
 def test_leaderboard_breaks_ties_by_name(spark):
     board = spark.createDataFrame([("b", 0.7), ("a", 0.7), ("c", 0.9)], "model string, auc_roc double")
     assert [r.model for r in models.leaderboard(board).collect()] == ["c", "a", "b"]

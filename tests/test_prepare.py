@@ -37,10 +37,13 @@ def test_encoding(rows):
     assert prepare.Preparation.from_json(fitted.to_json()) == fitted
 
 
-def test_too_many_categories_stop_the_fit(spark):
-    df = spark.range(500).select(F.col("id").cast("string").alias("name"))
-    with pytest.raises(ValueError, match="name"):
-        prepare.fit_encoding(df, limit=200)
+def test_columns_of_many_values_are_wide(spark):
+    df = spark.range(500).select(
+        F.col("id").cast("string").alias("name"), (F.col("id") % 200).cast("string").alias("kind"),
+        (F.col("id") % 201).cast("string").alias("more"))
+    fitted = prepare.fit_encoding(df, dense=200)
+    assert fitted.wide == ["name", "more"] and len(fitted.one_hot["kind"]) == 200
+    assert prepare.encode(df, fitted).columns[-2:] == ["name", "more"] and "name" not in fitted.features()
 
 
 def test_sparse_limit_is_strict_after_rounding(spark):
