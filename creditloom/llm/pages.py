@@ -37,12 +37,18 @@ BOILER_WORDS = frozenset((
 ).split())
 CONTENT_WORDS = frozenset("article content main post entry story articlebody maintext prose".split())
 
+# Words that name boilerplate outside an article, but inside it may name a part of the text.
+UNSURE_WORDS = frozenset("alert header legal login notice notices related recommended side signup skip".split())
+
 # Costs in units of log odds; the sign of a block's sum tells which terminal it leans to.
-BIAS, IN_ARTICLE, CONTENT_NAME, BOILER = -0.5, 4.0, 1.5, 16.0
+BIAS, IN_ARTICLE, CONTENT_NAME, BOILER, UNSURE = -0.5, 4.0, 1.5, 16.0, 5.0
 LINKS, LINKS_IN_ARTICLE, SHORT, SENTENCE, PER_WORD, MOST_WORDS = -4.0, -1.5, -0.7, 0.7, 0.08, 2.5
 NEXT_BLOCK, SAME_PARENT = 0.8, 0.4
+FAR = 64  # steps in the tree; blocks further apart are joined as weakly as at this distance
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPENING = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[a-zA-Z])")
+_NAME_END = re.compile(r"[\s/>]")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PART = re.compile(r"[a-z]+")
 _SENTENCE_END = re.compile(r"[.!?…。？！:;][\"'»”)\]]*\Z")
@@ -54,10 +60,11 @@ _CLOSES = {  # an element that a new one of the given kind closes, and where the
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "article", "boiler", "named", "link")
+    __slots__ = ("tag", "parent", "depth", "article", "boiler", "unsure", "named", "link")
 
-    def __init__(self, tag, parent, article=False, boiler=False, named=False, link=False):
-        self.tag, self.parent, self.article, self.boiler, self.named, self.link = tag, parent, article, boiler, named, link
+    def __init__(self, tag, parent, article=False, boiler=False, unsure=False, named=False, link=False):
+        self.tag, self.parent, self.article, self.boiler, self.unsure = tag, parent, article, boiler, unsure
+        self.named, self.link = named, link
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -65,7 +72,7 @@ def _opened(tag, attributes, parent):
     """The element of a start tag, with what it and its ancestors say about content."""
     article = parent.article or tag in ("article", "main")
     boiler = parent.boiler or tag in BOILER_TAGS or tag == "header" and not parent.article
-    named = parent.named
+    named, unsure = parent.named, parent.unsure
     if attributes.strip():
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
         role = found.get("role", "").lower()
@@ -78,8 +85,11 @@ def _opened(tag, attributes, parent):
             named = named or bool(good and not bad)
             # <article class="post comment"> is a comment; <div class="content-with-sidebar"> holds the content.
             comment = parts & {"comment", "comments", "commentlist", "reply", "replies"}
-            boiler = boiler or bool(comment) or bool(bad and not good and tag != "article")
-    return _Element(tag, parent, article, boiler, named, parent.link or tag == "a")
+            if bad and not good and tag != "article":
+                doubtful = parent.article and bad <= UNSURE_WORDS
+                unsure, boiler = unsure or doubtful, boiler or not doubtful
+            boiler = boiler or bool(comment)
+    return _Element(tag, parent, article, boiler, unsure, named, parent.link or tag == "a")
 
 
 class _Block:
@@ -89,10 +99,81 @@ class _Block:
         self.at, self.text, self.link_chars, self.heading = at, text, link_chars, heading
 
 
+class _Tags:
+    """Finds tags in one pass: no part of the page is read again for a ``<`` that turns out to be text."""
+
+    def __init__(self, html):
+        self.html, self.ends, self.stops, self.failed = html, (0, -1), (0, -1), set()
+
+    def _next(self, pattern, known, at):
+        """Where the pattern is next found from ``at`` on, the page's length if nowhere; starts only grow."""
+        if not known[0] <= at <= known[1]:
+            m = pattern.search(self.html, at)
+            known = (at, m.start() if m else len(self.html))
+        return known
+
+    def tag(self, at):
+        """(name, attributes, end) of the tag whose name starts at ``at``, None if it has no end.
+
+        A ``>`` between quotes is part of an attribute.
+        """
+        html, size = self.html, len(self.html)
+        self.ends = self._next(_NAME_END, self.ends, at)
+        start = i = self.ends[1]
+        walked = []
+        while True:
+            if not self.stops[0] <= i <= self.stops[1]:
+                self.stops = self._next(_STOP, self.stops, i)
+            stop = self.stops[1]
+            if stop == size or stop in self.failed:
+                break
+            if html[stop] == ">":
+                return html[at:start].lower(), html[start:stop], stop + 1
+            walked.append(stop)
+            i = html.find(html[stop], stop + 1) + 1
+            if not i:
+                break
+        self.failed.update(walked)
+        return None
+
+
+class _Stack:
+    """Open elements, with the places of each kind, so that none is searched for."""
+
+    def __init__(self):
+        self.elements, self.places, self.blocks = [_Element("", None)], {}, [0]
+
+    def top(self):
+        return self.elements[-1]
+
+    def holder(self):
+        """The innermost open element that is not inline."""
+        return self.elements[self.blocks[-1]]
+
+    def last(self, *tags):
+        """The place of the innermost open element of these kinds, 0 without one."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def push(self, element):
+        self.places.setdefault(element.tag, []).append(len(self.elements))
+        if element.tag not in INLINE:
+            self.blocks.append(len(self.elements))
+        self.elements.append(element)
+
+    def close(self, place):
+        while len(self.elements) > place:
+            self.places[self.elements.pop().tag].pop()
+        while self.blocks[-1] >= place:
+            self.blocks.pop()
+
+
 def blocks_of(html):
-    """The blocks of text of a page in page order, each with the element that holds it."""
-    root = _Element("", None)
-    stack, blocks, pieces, links, holder = [root], [], [], 0, root
+    """The blocks of text of a page in page order, each with the element that holds it.
+
+    A ``<`` that starts no whole tag is text. The work grows in proportion to the page.
+    """
+    stack, tags, blocks, pieces, links = _Stack(), _Tags(html), [], [], 0
+    holder = stack.top()
 
     def close_block():
         nonlocal pieces, links
@@ -107,43 +188,48 @@ def blocks_of(html):
             return
         text = unescape(text)
         if not pieces:
-            holder = stack[-1]
-            while holder.tag in INLINE and holder.parent:
-                holder = holder.parent
+            holder = stack.holder()
         pieces.append(text)
-        if stack[-1].link:
+        if stack.top().link:
             links += len(text.strip())
 
-    def pop_to(i):
-        del stack[i:]
-
-    at, endless = 0, set()
-    while at < len(html):
-        m = _TOKEN.search(html, at)
-        add(html[at:m.start() if m else len(html)])
-        if not m:
-            break
-        at = m.end()
-        if not m[2]:
-            if m[0].startswith("<![CDATA["):
-                add(m[0][9:-3])
+    def after(end, start):
+        found = html.find(end, start)
+        return len(html) if found < 0 else found + len(end)
+
+    read, at, endless = 0, 0, set()  # text is added up to ``read``, tags are looked for from ``at`` on
+    while m := _OPENING.search(html, at):
+        start, kind = m.start(), m[0]
+        if kind[1] in "!?":
+            add(html[read:start])
+            end = after({"<!--": "-->", "<![CDATA[": "]]>"}.get(kind, ">"), m.end())
+            if kind == "<![CDATA[":
+                add(html[m.end():end].removesuffix("]]>"))
+            read = at = end
             continue
-        tag = m[2].lower()
-        if m[1]:  # an end tag
+        found = tags.tag(m.end() - 1)
+        if not found:
+            at = m.end()
+            continue
+        add(html[read:start])
+        tag, attributes, at = found
+        read = at
+        if kind[1] == "/":
             if tag == "br":
                 add(" ")
                 continue
-            open_at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            place = stack.last(tag)
             if tag not in INLINE:
                 close_block()
-            if open_at and not (tag in INLINE and any(e.tag not in INLINE for e in stack[open_at:])):
-                pop_to(open_at)
+            if place and not (tag in INLINE and stack.blocks[-1] > place):
+                stack.close(place)
             continue
+        alone = attributes.rstrip().endswith("/")
         if tag in RAW:
-            if not m[3].rstrip().endswith("/") and tag not in endless:
+            if not alone and tag not in endless:
                 end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(html, at)
                 if end:
-                    at = end.start()
+                    read = at = end.start()
                 else:
                     endless.add(tag)
             continue
@@ -155,20 +241,13 @@ def blocks_of(html):
             continue
         if tag not in INLINE:
             close_block()
-            if tag in _CLOSES:
-                kinds, stop = _CLOSES[tag]
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in stop:
-                        break
-                    if stack[i].tag in kinds:
-                        pop_to(i)
-                        break
-            else:
-                open_p = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
-                if open_p:
-                    pop_to(open_p)
-        if not m[3].rstrip().endswith("/") or tag not in INLINE:
-            stack.append(_opened(tag, m[3], stack[-1]))
+            kinds, within = _CLOSES.get(tag, (("p",), ()))
+            place = stack.last(*kinds)
+            if place > stack.last(*within):
+                stack.close(place)
+        if not alone or tag not in INLINE:
+            stack.push(_opened(tag, attributes, stack.top()))
+    add(html[read:])
     close_block()
     return blocks
 
@@ -185,12 +264,14 @@ def leaning(block):
         score += IN_ARTICLE
     if e.named:
         score += CONTENT_NAME
+    if e.unsure:
+        score -= UNSURE
     return score - BOILER if e.boiler else score
 
 
 def _tree_distance(a, b):
     steps = 0
-    while a is not b:
+    while a is not b and steps < FAR:
         if a.depth >= b.depth:
             a = a.parent
         else:

@@ -327,6 +327,31 @@ def test_minimum_cut_against_all_cuts():
         assert abs(cost(pages.minimum_cut(lean, edges)) - best) < 1e-6
 
 
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<a" * 500_000, "<a \"'" * 200_000, "<a '" * 200_000 + '"', "</b>" * 200_000, "<" * 1_000_000,
+    "<div>" * 100_000 + "</x>" * 100_000, "<b>" * 50_000 + "<div>" * 50_000 + "</b>" * 50_000, "<li><b>x" * 20_000,
+])
+def test_broken_pages_take_time_in_proportion(page):
+    import time
+    began = time.process_time()
+    pages.blocks_of(page)
+    assert time.process_time() - began < 6
+
+
+def test_a_sign_without_a_tag_is_text():
+    assert pages.main_text("<article><p>When a < b and c <d the rest, however long it may be, stays.</article") == (
+        "When a < b and c <d the rest, however long it may be, stays.</article")
+    assert pages.main_text('<article><p title="a > b">One sentence of an article.</p></article>') == "One sentence of an article."
+
+
+@pytest.mark.parametrize("name", ["legal-history", "related-work", "notice"])
+def test_a_class_word_alone_does_not_decide_inside_an_article(name):
+    text = "The law of the sea was first written down by merchants, who had to agree on what a lost cargo was worth to its owner."
+    body = f"<p>{text}</p>"
+    assert pages.main_text(f"<article>{body}<section class='{name}'>{body}</section></article>") == f"{text}\n{text}"
+    assert pages.main_text(f"<article>{body}</article><div class='{name}'>{body}</div>") == text
+
+
 def test_pages_keep_rows_and_columns(spark):
     data = [(1, "<article>a b</article>", "u"), (1, "<article>a b</article>", "u"), (None, None, None)]
     out = pages.extract_pages(clashing(spark.createDataFrame(data, "page_id long, html string, url string"), "text", "n_chars"))
