@@ -85,6 +85,17 @@ def _imputer(fill):
     return SQLTransformer(statement=f"SELECT * EXCEPT ({names}), {full} FROM __THIS__")
 
 
+def _without_summary(model):
+    """The fitted model without its training summary.
+
+    The summary holds the session, which cannot be sent to executors once it has observed a write;
+    a stored model has none either.
+    """
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 class MedianFill(Estimator):
     """Fits the exact medians of the features over the rows it is given; 0 for a feature without values.
 
@@ -111,7 +122,7 @@ class WeightedLearner(Estimator):
 
     def _fit(self, dataset):
         rows, total_weight, n = weighted(dataset, self.label, LEARNERS[self.name]["weights"])
-        return self.estimator(total_weight, n).fit(rows)
+        return _without_summary(self.estimator(total_weight, n).fit(rows))
 
 
 def learner(name, features, label=S.LABEL, seed=S.SEED, vectors=(), **overrides):
@@ -200,7 +211,7 @@ def feature_importance(model, k=S.TOP_IMPORTANCES):
 
 def validated(
     name, df, features, key=S.CUSTOMER, label=S.LABEL, folds=S.CV_FOLDS, rows=S.CV_SAMPLE_ROWS,
-    seed=S.SEED, parallelism=1, keep_models=False, **overrides,
+    seed=S.SEED, parallelism=1, keep_models=False, vectors=(), **overrides,
 ):
     """Spark ML's validation over stratified folds of a sample.
 
@@ -208,10 +219,10 @@ def validated(
     """
     sample = sample_rows(df.where(F.col(label).isNotNull()), rows, key, seed)
     sample = sample.withColumn("_fold", fold_column(sample, key, label, folds, seed + 1)).select(
-        label, "_fold", *[col(c) for c in features]
+        label, "_fold", *[col(c) for c in [*features, *vectors]]
     )
     return CrossValidator(
-        estimator=learner(name, features, label, seed, **overrides),
+        estimator=learner(name, features, label, seed, vectors, **overrides),
         estimatorParamMaps=ParamGridBuilder().build(),
         evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0),
         numFolds=folds, foldCol="_fold", seed=seed, parallelism=parallelism, collectSubModels=keep_models,

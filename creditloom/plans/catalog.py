@@ -9,7 +9,7 @@ from creditloom import settings as S
 from creditloom.functions import bands
 from creditloom.functions.scalar import clip, col, flag, ratio, ratio_or, years
 from creditloom.operators import (
-    decision, features, joins, marts, models, prepare, profile, quality, ranking, sampling, summaries,
+    categories, decision, features, joins, marts, models, prepare, profile, quality, ranking, sampling, summaries,
 )
 from creditloom.plans import lending
 from creditloom.session import fresh_path, shared_folder, small_table
@@ -634,6 +634,45 @@ def encode_onehot(d):
     return prepare.encode(d.applications(), fitted, keep=[S.CUSTOMER])
 
 
+def amounts_as_text(d):
+    """Two text columns, one of few values and one of very many."""
+    amount = F.floor("AMT_CREDIT").cast("string")
+    return d.applications().select(S.CUSTOMER, "NAME_SEGMENT", amount.alias("CREDIT_TEXT"))
+
+
+def text_categories(d):
+    return d._once("categories", lambda: categories.fit_categories(
+        amounts_as_text(d), ["NAME_SEGMENT", "CREDIT_TEXT"], fresh_path(d.spark, "categories")
+    ))
+
+
+@query
+def category_table(d):
+    return text_categories(d).table
+
+
+@query
+def encode_sparse(d):
+    path = fresh_path(d.spark, "flagged")
+    categories.flag_vectors(amounts_as_text(d), text_categories(d), path)
+    # read without the vector's type, so that SQL expressions reach its parts
+    stored = d.spark.read.parquet(os.path.join(path, "flagged"))
+    return stored.select(
+        S.CUSTOMER, F.col("flags.size").alias("width"),
+        F.array_join(F.col("flags.indices").cast("array<string>"), ",").alias("positions"),
+        F.aggregate(F.col("flags.values"), F.lit(0.0), lambda a, x: a + x).alias("total"),
+    )
+
+
+@query
+def compact_table(d):
+    """The table in its narrowest types, stored and read back; shown in its first types."""
+    first = dict(d.roles.application.dtypes)
+    stored = files.write_table(prepare.compact(d.roles.application), fresh_path(d.spark, "compact"))
+    return stored.select([F.bround(col(c).cast(first[c]), 2).alias(c) if first[c] == "double" else col(c).cast(first[c]).alias(c)
+                          for c in stored.columns])
+
+
 @query
 def drop_sparse(d):
     df = d.engineered()

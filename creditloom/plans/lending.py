@@ -2,16 +2,19 @@
 
 import os
 import warnings
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from creditloom import settings as S
+from creditloom.functions.scalar import col
 from creditloom.operators import (
-    decision, features, joins, marts, models, prepare, profile, quality, ranking, sampling, summaries,
+    categories, decision, features, joins, marts, models, prepare, profile, quality, ranking, sampling, summaries,
 )
-from creditloom.session import path_exists, size_shuffles, small_table
+from creditloom.session import fresh_path, path_exists, size_shuffles, small_table
 from creditloom.sources import files, schemas
 
+FLAGS = "category_flags"
 SUMMARIES = {
     "bureau": lambda t: summaries.summarise_bureau(t["bureau"], t["bureau_balance"]),
     "previous": lambda t: summaries.summarise_previous(t["previous_application"]),
@@ -57,38 +60,45 @@ def extract(tables, folder, expected=None):
             if row.status == "warn":
                 warnings.warn(f"{row.table_name}: {row.actual_rows} of {row.expected_rows} rows", stacklevel=2)
     union = joins.union_sets(tables["application_train"], tables["application_test"])
-    return files.write_table(union, os.path.join(folder, "applications"))
+    return files.write_stage(union, os.path.join(folder, "applications"))[0]
 
 
 def transform(spark, tables, folder, fresh=False, fit_on="all"):
     """Summaries, customer view, features, prepared matrix and exports, each a stage table.
 
-    Every summary is stored once; so is the engineered view, as several passes
-    take statistics from it. A join that multiplied rows stops the work before
-    anything is prepared from them.
+    Every summary is stored once, and redone when its inputs or its own plan change; so is the
+    engineered view, as several passes take statistics from it. Rows and missing values are counted while
+    tables are written. A join that multiplied rows stops the work before anything is prepared from them.
+    Text columns of very many values become one vector of sparse flags, which the exports leave out.
     """
-    applications = files.read_table(spark, os.path.join(folder, "applications"))
+    path = os.path.join(folder, "applications")
+    applications = files.read_table(spark, path)
     size_shuffles(spark, [applications, *tables.values()])
-    version = files.fingerprint(tables.values())
-    parts = [
-        files.load_or_compute(spark, folder, f"summary_{name}", lambda b=build: b(tables), fresh, version)
-        for name, build in SUMMARIES.items()
-    ]
-    engineered = files.write_table(customer_features(applications, parts), os.path.join(folder, "engineered"))
-    # both counts come from file footers
-    before, after = applications.count(), engineered.count()
-    if before != after:
+    parts = []
+    for name, build in SUMMARIES.items():
+        summary = build(tables)
+        version = files.fingerprint([summary])
+        parts.append(files.load_or_compute(spark, folder, f"summary_{name}", lambda s=summary: s, fresh, version))
+    engineered, counted = files.write_stage(customer_features(applications, parts), os.path.join(folder, "engineered"))
+    known = files.manifest(spark, path)
+    before = known["rows"] if known else applications.count()
+    if before != counted["rows"]:
         joins.check_unique(dict(zip(SUMMARIES, parts)))
-        joins.check_row_count(before, after)
+        joins.check_row_count(before, counted["rows"])
 
     basis = engineered if fit_on == "all" else engineered.where(F.col(S.SET) == "train")
     fitted = prepare.fit(basis)
     save_preparation(spark, fitted, folder)
     prepared = prepare.apply(engineered, fitted)
+    if fitted.wide:
+        found = categories.fit_categories(prepare.plain_types(basis), fitted.wide, os.path.join(folder, "categories"))
+        prepared = categories.flag_vectors(prepared, found, os.path.join(folder, "flagged"), FLAGS)
     plan = [p for p in prepare.compact_types(prepared) if p[0] != S.CUSTOMER]
-    prepared = files.write_table(prepare.compact(prepared, plan), os.path.join(folder, "prepared"))
-    prepare.check_no_nulls(prepared, fitted.features())
-    train = prepared.where(F.col(S.SET) == "train")
+    missing = F.count_if(reduce(lambda a, b: a | b, [col(c).isNull() for c in fitted.features()], F.lit(False)))
+    prepared, counted = files.write_stage(prepare.compact(prepared, plan), os.path.join(folder, "prepared"), missing=missing)
+    if counted["missing"]:
+        prepare.check_no_nulls(prepared, fitted.features())
+    train = prepared.where(F.col(S.SET) == "train").drop(FLAGS)
     files.export_slim(train, os.path.join(folder, "credit_data_csv"))
     files.export_full(train, os.path.join(folder, "enriched_csv"))
     return prepared, fitted
@@ -114,7 +124,11 @@ def score(spark, tables, folder, model_path):
         {S.SET: F.lit("test"), S.LABEL: F.lit(None).cast("double")}
     )
     engineered = customer_features(applications, all_summaries(tables))
-    prepared = prepare.apply(engineered, load_preparation(spark, folder), keep=(S.CUSTOMER,))
+    fitted = load_preparation(spark, folder)
+    prepared = prepare.apply(engineered, fitted, keep=(S.CUSTOMER,))
+    if fitted.wide:
+        found = categories.load_categories(spark, os.path.join(folder, "categories"), fitted.wide)
+        prepared = categories.flag_vectors(prepared, found, fresh_path(spark, "flagged"), FLAGS)
     return models.score_rows(models.load_model(model_path), prepared)
 
 
@@ -134,19 +148,25 @@ def explore(train):
 
 
 def train_models(prepared, names, folder, learners=tuple(models.LEARNERS), overrides=None):
-    """Fit, score, rank and store the models; choose the threshold of the best one."""
+    """Fit, score, rank and store the models; choose the threshold of the best one.
+
+    Logistic regression and forest take the vector of sparse flags where there is one. The boosted
+    learners bin every feature and leave it out.
+    """
+    vectors = [FLAGS] if FLAGS in prepared.columns else []
+    taken = {name: [] if name.startswith("boosted") else vectors for name in learners}
     labelled, _ = sampling.slice_sets(prepared)
     train, held_out = sampling.stratified_split(labelled)
     fitted, scored = {}, {}
     for name in learners:
-        fitted[name] = models.fit_model(name, train, names, **(overrides or {}).get(name, {}))
+        fitted[name] = models.fit_model(name, train, names, vectors=taken[name], **(overrides or {}).get(name, {}))
         # scores are written once: every metric and curve reads them
         scored[name] = files.write_table(
             models.score_rows(fitted[name], held_out, label=S.LABEL), os.path.join(folder, f"scored_{name}")
         )
     board = files.write_table(models.evaluate(scored), os.path.join(folder, "model_results"))
     best = models.leaderboard(board).first()["model"]
-    folds = models.cross_validate(best, train, names, **(overrides or {}).get(best, {}))
+    folds = models.cross_validate(best, train, names, vectors=taken[best], **(overrides or {}).get(best, {}))
     sweep = decision.fbeta_sweep(scored[best])
     threshold = decision.best_threshold(sweep).first()["threshold"]
     return {

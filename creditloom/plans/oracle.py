@@ -242,6 +242,12 @@ _SEGMENT_FLAGS = ", ".join(
     f"CAST(CASE WHEN NAME_SEGMENT = '{v}' THEN 1 ELSE 0 END AS INT) AS NAME_SEGMENT_{v}"
     for v in ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 )
+BLOCKS["text_values"] = """SELECT SK_ID_CURR, 1 AS i, 'NAME_SEGMENT' AS column_name, NAME_SEGMENT AS value FROM apps
+    UNION ALL SELECT SK_ID_CURR, 2, 'CREDIT_TEXT', CAST(CAST(floor(AMT_CREDIT) AS BIGINT) AS VARCHAR) FROM apps"""
+BLOCKS["text_codes"] = """SELECT i, column_name, value, count(*) AS n,
+    row_number() OVER (PARTITION BY i ORDER BY value) - 1 AS code FROM text_values WHERE value IS NOT NULL GROUP BY i, column_name, value"""
+BLOCKS["text_categories"] = """SELECT i, column_name, value, n, code, CASE WHEN code > 0 THEN
+    count(*) FILTER (code > 0) OVER (ORDER BY i, code) - 1 END AS position FROM text_codes"""
 BLOCKS["prepared"] = f"""SELECT SK_ID_CURR, "SET", TARGET, {_FLAG_CODE}, {_SEGMENT_FLAGS}, """ + ", ".join(
     f"least(greatest({c}, {_quantile(c, 0.01, 'filled')}), {_quantile(c, 0.99, 'filled')}) AS {c}"
     if c in _CAPPED else c for c in NUMERIC
@@ -553,6 +559,12 @@ QUERIES = {
     "union_all": "SELECT SK_ID_CURR, TARGET, AMT_CREDIT FROM apps WHERE TARGET IN (0, 1)",
     "encode_binary": f"SELECT SK_ID_CURR, {_FLAG_CODE} FROM application",
     "encode_onehot": f"SELECT SK_ID_CURR, {_SEGMENT_FLAGS} FROM application",
+    "category_table": "SELECT column_name, value, n, code, position FROM text_categories",
+    "encode_sparse": """SELECT SK_ID_CURR, CAST((SELECT max(position) + 1 FROM text_categories) AS INT) AS width,
+        coalesce(string_agg(CAST(position AS VARCHAR), ',' ORDER BY position), '') AS positions,
+        CAST(count(position) AS DOUBLE) AS total
+        FROM text_values JOIN text_categories USING (i, column_name, value) GROUP BY SK_ID_CURR""",
+    "compact_table": "SELECT * FROM application",
     "drop_sparse": f"SELECT SK_ID_CURR, {_FLAG_CODE}, {_SEGMENT_FLAGS}, "
                    + ", ".join(c for c in NUMERIC if c not in _SPARSE) + " FROM features",
     "impute_median": f"SELECT SK_ID_CURR, {_FLAG_CODE}, {_SEGMENT_FLAGS}, "

@@ -1,8 +1,10 @@
 """File scans and sinks, stage tables, typed load and view resolution."""
 
 import hashlib
+import json
 import os
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,23 +125,66 @@ def write_bucketed(df, table, path, buckets, key=CUSTOMER):
     return df.sparkSession.table(table)
 
 
+MANIFEST = "_stage.json"  # readers of tables pass over names with an underscore
+
+
+def write_stage(df, path, version="", **measures):
+    """Write a stage table with a manifest; returns the table and what was counted while it was written.
+
+    ``measures`` are aggregates over the rows written, beside their number ``rows``. They are taken
+    in the writing tasks, each of which counts once however often it is retried, so they cost no pass.
+    """
+    spark, seen = df.sparkSession, Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(name) for name, m in measures.items()])
+    observed.write.mode("overwrite").parquet(path)
+    table, counted = spark.read.parquet(path), dict(seen.get)
+    facts = {"rows": counted["rows"], "schema": table.schema.simpleString(), "version": version}
+    target = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, MANIFEST))
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(json.dumps(facts).encode()))
+    out.close()
+    return table, counted
+
+
+def manifest(spark, path):
+    """What is known of a stage table: rows, schema and version; None without a manifest."""
+    target = os.path.join(path, MANIFEST)
+    if not path_exists(spark, target):
+        return None
+    at = spark._jvm.org.apache.hadoop.fs.Path(target)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return json.loads(text)
+
+
 def load_or_compute(spark, folder, name, compute, fresh=False, version=""):
     """The finished stage table if there is one, else compute and write it.
 
-    Only a table with a success marker counts as finished, so a job that died
-    half way is redone. ``version`` separates results of different inputs.
+    The manifest is written last and goes first when the stage is written anew, so a job that died
+    half way is redone; so is a stage with another version, or whose files no longer hold its rows and
+    columns. ``version`` separates results of different inputs and code.
     """
     path = os.path.join(folder, f"{name}-{version}" if version else name)
-    if not fresh and path_exists(spark, os.path.join(path, "_SUCCESS")):
-        return spark.read.parquet(path)
-    return write_table(compute(), path)
+    known = None if fresh else manifest(spark, path)
+    if known and known["version"] == version and path_exists(spark, os.path.join(path, "_SUCCESS")):
+        table = spark.read.parquet(path)
+        if known["schema"] == table.schema.simpleString() and known["rows"] == table.count():
+            return table
+    return write_stage(compute(), path, version)[0]
 
 
 def fingerprint(tables):
-    """A short name of what the tables read: their plans, and the files below them with sizes and times."""
+    """A short name of how the tables are computed and from what.
+
+    It covers their whole plans, so that a changed expression changes it, and the files
+    below them with sizes and times.
+    """
     digest = hashlib.sha256()
     for df in tables:
-        digest.update(df._jdf.queryExecution().optimizedPlan().canonicalized().treeString().encode())
+        plan = df._jdf.queryExecution().optimizedPlan().canonicalized()
+        # all fields of wide operators, not the first few
+        digest.update(plan.treeString(True, False, 2**31 - 1, False, False).encode())
         hadoop = df.sparkSession._jsc.hadoopConfiguration()
         for name in sorted(df.inputFiles()):
             path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name)

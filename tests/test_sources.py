@@ -23,6 +23,32 @@ def test_load_or_compute(spark, tmp_path):
     assert read() == 4
 
 
+def test_stages_of_other_code_or_with_lost_files_are_redone(spark, tmp_path):
+    wide = [(F.col("id") + i).alias(f"c{i}") for i in range(60)]
+    base = spark.range(10).select("id", *wide)
+    first, again = files.fingerprint([base.withColumn("x", F.lit(1))]), files.fingerprint([base.withColumn("x", F.lit(1))])
+    assert first == again != files.fingerprint([base.withColumn("x", F.lit(2))])
+    # a change in the last of many columns counts as well
+    assert files.fingerprint([base.agg(*[F.sum(f"c{i}") for i in range(60)])]) != files.fingerprint(
+        [base.agg(*[F.sum(f"c{i}") for i in range(59)], F.max("c59"))])
+    path = tmp_path / "stage"
+    read = lambda df, version="": files.load_or_compute(spark, str(tmp_path), "stage", lambda: df, version=version)
+    read(base.repartition(4))
+    assert files.manifest(spark, str(path))["rows"] == 10
+    next(p for p in path.glob("part-*.parquet")).unlink()
+    spark.catalog.refreshByPath(str(path))
+    assert read(base.repartition(2)).count() == 10
+    spark.range(10).write.mode("append").parquet(str(path))
+    assert read(base).count() == 10 and files.manifest(spark, str(path))["schema"].startswith("struct<id:bigint,c0")
+    assert files.manifest(spark, str(tmp_path / "none")) is None
+
+
+def test_counts_are_taken_while_writing(spark, tmp_path):
+    df = spark.range(100, numPartitions=5).withColumn("x", F.when(F.col("id") % 3 > 0, 1))
+    table, counted = files.write_stage(df, str(tmp_path / "t"), missing=F.count_if(F.col("x").isNull()))
+    assert counted == {"rows": 100, "missing": 34} and table.count() == 100
+
+
 def test_slim_round_trip(spark, tmp_path):
     df = spark.range(3).select(*[
         F.when(F.col("id") > 0, F.col("id") * 365).cast("int" if c == "DAYS_BIRTH" else "double").alias(c)
