@@ -124,14 +124,14 @@ def fit_encoding(df, label=S.LABEL, dense=DENSE_CATEGORIES):
     return fitted
 
 
-def fit(df, label=S.LABEL, limit_pct=S.MISSING_LIMIT_PCT):
+def fit(df, label=S.LABEL, limit_pct=S.MISSING_LIMIT_PCT, dense=DENSE_CATEGORIES):
     """All facts of the preparation, over the rows of ``df``.
 
     Pass labelled and unlabelled rows together to take the statistics over both,
     or the training rows alone to keep the rest unseen.
     """
     df = plain_types(df)
-    fitted = fit_encoding(df, label)
+    fitted = fit_encoding(df, label, dense)
     facts = number_facts(df, {**{c: col(c) for c in fitted.numeric}, "": F.lit(0)})
     rows = facts.pop("").n
     if not rows:

@@ -63,13 +63,13 @@ def extract(tables, folder, expected=None):
     return files.write_stage(union, os.path.join(folder, "applications"))[0]
 
 
-def transform(spark, tables, folder, fresh=False, fit_on="all"):
+def transform(spark, tables, folder, fresh=False, fit_on="all", dense=prepare.DENSE_CATEGORIES):
     """Summaries, customer view, features, prepared matrix and exports, each a stage table.
 
     Every summary is stored once, and redone when its inputs or its own plan change; so is the
     engineered view, as several passes take statistics from it. Rows and missing values are counted while
     tables are written. A join that multiplied rows stops the work before anything is prepared from them.
-    Text columns of very many values become one vector of sparse flags, which the exports leave out.
+    Text columns of more than ``dense`` values become one vector of sparse flags, which the exports leave out.
     """
     path = os.path.join(folder, "applications")
     applications = files.read_table(spark, path)
@@ -87,7 +87,7 @@ def transform(spark, tables, folder, fresh=False, fit_on="all"):
         joins.check_row_count(before, counted["rows"])
 
     basis = engineered if fit_on == "all" else engineered.where(F.col(S.SET) == "train")
-    fitted = prepare.fit(basis)
+    fitted = prepare.fit(basis, dense=dense)
     save_preparation(spark, fitted, folder)
     prepared = prepare.apply(engineered, fitted)
     if fitted.wide:

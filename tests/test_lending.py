@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from creditloom.operators import models
 from creditloom.plans import catalog, lending
 from creditloom.sources import files
 
@@ -117,6 +118,20 @@ def test_scoring_of_new_applications(spark, work):
     assert len(scores) == new.count() > 0 and all(0 <= r.score <= 1 for r in scores)
 
 
+def test_wide_categories_reach_models_and_scores(spark, work):
+    folder, tables, _, _ = work
+    prepared, fitted = lending.transform(spark, tables, str(folder), dense=3)
+    assert fitted.wide and not any(n.startswith(fitted.wide[0]) for n in fitted.features())
+    row = prepared.first()
+    assert 1 <= row[lending.FLAGS].size < 20 and fitted.wide[0] not in prepared.columns
+    train = prepared.where("SET = 'train'")
+    model = models.fit_model("logistic", train, fitted.features(), vectors=[lending.FLAGS], maxIter=5)
+    path = models.save_model(model, "wide", str(folder))
+    again = {r.SK_ID_CURR: r.score for r in lending.score(spark, tables, str(folder), path).collect()}
+    direct = {r.SK_ID_CURR: r.score for r in models.score_rows(model, prepared.where("SET = 'test'")).collect()}
+    assert again.keys() == direct.keys() and all(abs(again[k] - direct[k]) < 1e-6 for k in again)
+
+
 def test_restart_uses_finished_summaries_of_the_same_inputs(spark, work, monkeypatch):
     folder, tables, prepared, _ = work
     # last in this file, as it writes the prepared table anew
