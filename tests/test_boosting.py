@@ -126,3 +126,12 @@ def test_one_value_per_feature_gives_the_share(spark):
     df = table(spark, np.ones((10, 4)), np.arange(10) % 2, np.ones(10))
     model = BoostedTrees(labelCol="y", weightCol="w", maxIter=2).fit(df)
     assert {r.probability[1] for r in model.transform(df).collect()} == {0.5}
+
+
+def test_a_small_table_takes_one_job_per_tree(spark, monkeypatch):
+    x, y, w = sample(6000)
+    level, calls = boosting._level, []
+    monkeypatch.setattr(boosting, "_level", lambda *args: calls.append(1) or level(*args))
+    model = BoostedTrees(labelCol="y", weightCol="w", maxIter=3, maxDepth=4).fit(table(spark, x, y, w))
+    assert model.numTrees == 3 and len(calls) == 3
+    assert max(n[1] for n in model.nodes) >= 2**4
