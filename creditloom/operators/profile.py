@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 from creditloom import settings as S
 from creditloom.functions import bands
 from creditloom.functions.scalar import clip, col
-from creditloom.functions.totals import correlation
-from creditloom.operators.columns import number_facts, stacked
+from creditloom.operators.columns import label_moments, number_facts, stacked
 from creditloom.operators.quantiles import quantiles
 from creditloom.session import small_table
 
@@ -130,11 +129,10 @@ def set_profile(df, label=S.LABEL, tag=S.SET):
 
 def label_correlations(df, columns, label=S.LABEL):
     """Correlation of each column with the label, rows (feature, correlation)."""
-    values = [col(c).cast("double") for c in columns]
-    found = stacked(df, values, keep=[F.col(label).cast("double").alias("y")]).groupBy("i").agg(
-        correlation(F.col("x"), F.col("y")).alias("correlation")
-    )
-    return found.select(_named(columns).alias("feature"), "correlation")
+    found = label_moments(df, [col(c) for c in columns], F.col(label))
+    # a constant or single-row column has no correlation
+    correlation = F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy"))
+    return found.select(_named(columns).alias("feature"), correlation.alias("correlation"))
 
 
 def top_correlations(df, columns=None, label=S.LABEL, k=S.TOP_CORRELATIONS):

@@ -75,3 +75,8 @@ def test_building_a_query_starts_no_job(spark, name):
         assert tracker.getJobIdsForGroup("building") == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_correlations_unfold_no_rows(spark):
+    """Tasks add up whole columns; no row becomes one row per column."""
+    assert "Generate" not in plan(spark, "top_correlations")
