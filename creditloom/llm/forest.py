@@ -17,7 +17,8 @@ sets compared then grow with the documents, not with the pairs of a group.
 Regions with more members than the neighbours cover, and of more than one
 component then, are searched exactly: their members are dealt out in blocks of
 bounded size, and every pair of different components meets in one of them. The
-blocks give no pairs but only edges that connect what the pairs connect.
+blocks give no pairs but only edges that connect what the pairs connect. So the
+scans of the orders only need the likeliest neighbour of each member there.
 """
 
 import numpy as np
@@ -35,6 +36,7 @@ PARTS, DEPTH = 16, 6  # parts of a signature, and values in each
 ORDERS = 2 * PARTS  # by each part, and by the second half of each with the first half of the next
 LEAST_DEPTH = 2  # common values that make neighbours candidates; a pair of similarity 0.8 lacks them in all orders once in 10^7
 ROUNDS = ((4, 1), (ORDERS, 8))  # orders, and neighbours on either side
+LEAST_CROWDED = ROUNDS[-1][1] + 2  # members of a region that the neighbours on one side do not cover; it is searched exactly
 # The steps of each round: one pair is confirmed for each value of these columns, or all that are left. A pair the
 # first round leaves out is found again in the second, which has its orders and neighbours too.
 STEPS = ((("a",),), (("low", "high"), ()))
@@ -122,11 +124,17 @@ def _least_equal(percent):
 
 
 def _neighbours(percent, near, by_part):
-    """Candidate pairs among rows sorted by tree and key; with ``by_part`` also the rows at a task's ends."""
+    """Candidate pairs among rows sorted by tree and key; with ``by_part`` also the rows at a task's ends.
+
+    In a region seen to be crowded, each row gives its likeliest pair only: ``crowded_links`` finds the others.
+    """
     least_equal = _least_equal(percent)
 
     def pairs(tree, key, node, size, sketch, component):
         prefix = key[:, :4 * LEAST_DEPTH].copy().view(">u8").ravel()
+        starts = np.flatnonzero(np.append(True, (tree[1:] != tree[:-1]) | (prefix[1:] != prefix[:-1])))
+        members = np.diff(np.append(starts, len(tree)))  # of the rows at hand, so at most those of the region
+        crowded = np.repeat(members >= LEAST_CROWDED, members)
         out = []
         for step in range(1, near + 1):
             x, y = slice(step, None), slice(None, -step)
@@ -140,8 +148,12 @@ def _neighbours(percent, near, by_part):
             near_enough = _VALUES - different >= least_equal
             which, different = which[near_enough], different[near_enough]
             low, high = np.minimum(node[which], node[which + step]), np.maximum(node[which], node[which + step])
-            out.append((low, high, different))
-        return [np.concatenate(c) for c in zip(*out)]
+            out.append((low, high, different, which + step))
+        low, high, different, row = (np.concatenate(c) for c in zip(*out))
+        order = np.lexsort((high, low, different, row))
+        likeliest = np.append(True, row[order][1:] != row[order][:-1])[:len(row)]
+        kept = order[likeliest | ~crowded[row[order]]]
+        return low[kept], high[kept], different[kept]
 
     def of_pairs(a, b, different):
         empty = [pa.nulls(len(a), t) for t in (pa.int32(), pa.int64(), *_KINDS)]
@@ -364,7 +376,7 @@ def crowded_links(nodes, df, shingle, doc, text, percent, scratch):
     crowded = scratch.keep(
         regions.groupBy("tree", "key").agg(
             F.count("*").alias("n"), F.min("component").alias("first"), F.max("component").alias("last")
-        ).where(f"n > {ROUNDS[-1][1] + 1} AND first < last").select(
+        ).where(f"n >= {LEAST_CROWDED} AND first < last").select(
             "tree", "key", F.ceil(F.col("n") / BLOCK_NODES).alias("blocks")
         ), "crowded",
     )

@@ -168,6 +168,19 @@ def test_star_of_more_copies_than_neighbours(spark):
     assert got == {d: c for d, (_, c) in brute.near_duplicates(data, 4).items()} == dict.fromkeys(got, 0)
 
 
+def test_candidates_of_a_crowded_region_grow_with_its_members(spark):
+    """A row has one pair an order in a region that is searched exactly later; in a smaller region all pairs are there."""
+    def pairs(n, name):
+        df, scratch = spark.createDataFrame(star_family(n, 250, 6), DOCS), Scratch(spark, name)
+        nodes = forest.signatures(df, 4, "doc_id", "text").select(
+            F.col("doc_id").alias("node"), "n_shingles", "keys", "sketch", F.col("doc_id").alias("component"))
+        found = forest.candidates(scratch.keep(nodes, "nodes"), forest.ORDERS, 8, 80, scratch, "trial")
+        return {tuple(r) for r in found.select("a", "b").collect()}
+
+    assert 300 <= len(pairs(300, "crowded")) <= forest.ORDERS * 301
+    assert pairs(6, "small") == set(itertools.combinations(range(7), 2))
+
+
 def test_near_duplicates_of_null_and_repeated_ids(spark):
     text = prose(3, 50)
     data = [(None, text), (None, text), (4, text), (4, prose(4, 50)), (9, prose(4, 50)), (7, text)]
