@@ -78,6 +78,11 @@ def weighted(df, label=S.LABEL, kind="balanced", counts=None):
     return rows, w0 * counts[0] + w1 * counts[1], counts[0] + counts[1]
 
 
+def _partitions(n):
+    """Partitions for ``n`` rows to train on."""
+    return max(1, -(-n // ROWS_PER_PARTITION))
+
+
 def _imputer(fill):
     """A stage that replaces missing features by ``fill``, stored with the model."""
     names = ", ".join(quoted(c) for c in fill)
@@ -122,6 +127,8 @@ class WeightedLearner(Estimator):
 
     def _fit(self, dataset):
         rows, total_weight, n = weighted(dataset, self.label, LEARNERS[self.name]["weights"])
+        # the folds of a sample lie in as many partitions as the table it comes from
+        rows = rows.coalesce(_partitions(n))
         return _without_summary(self.estimator(total_weight, n).fit(rows))
 
 
@@ -156,8 +163,7 @@ def fit_model(name, df, features, label=S.LABEL, seed=S.SEED, most_rows=None, ke
     if most_rows is not None:
         rows = sample_rows(rows, most_rows, key, seed)
     rows = rows.select(label, *[col(c) for c in [*features, *vectors]])
-    n = rows.count()
-    rows = rows.coalesce(max(1, -(-n // ROWS_PER_PARTITION)))
+    rows = rows.coalesce(_partitions(rows.count()))
     return learner(name, features, label, seed, vectors, **overrides).fit(rows)
 
 

@@ -118,3 +118,21 @@ def test_registered_models_use_the_default_parameters():
     from creditloom.plans import catalog
     source = inspect.getsource(catalog.Data.model) + inspect.getsource(catalog)
     assert not hasattr(catalog, "TRIAL_SIZE") and "maxIter" not in source and "numTrees" not in source
+
+
+def test_a_learner_gathers_the_rows_it_is_given(spark, monkeypatch):
+    """The folds of a sample are learned from few partitions, however many the table has they come from."""
+    seen = []
+
+    class Kept:
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return self
+
+    learner = models.WeightedLearner("logistic")
+    monkeypatch.setattr(learner, "estimator", lambda total_weight, rows: Kept())
+    rows = spark.range(0, 100, numPartitions=20).selectExpr("cast(id % 2 as int) AS TARGET")
+    learner.fit(rows)
+    monkeypatch.setattr(models, "ROWS_PER_PARTITION", 30)
+    learner.fit(rows)
+    assert seen == [1, 4]
