@@ -221,7 +221,8 @@ def model_roundtrip(d):
 
 @query
 def project_slim(d):
-    return files.slim(d.engineered().where(F.col(S.SET) == "train"))
+    # straight from the features: the summaries then carry the slim columns alone, and no stage is written
+    return files.slim(d.features().where(F.col(S.SET) == "train"))
 
 
 @query

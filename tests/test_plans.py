@@ -37,6 +37,14 @@ def test_unused_summaries_are_not_computed(spark):
     assert "LessThan(c_nationkey,21)" in text
 
 
+def test_slim_columns_carry_no_other_statistics(spark):
+    """The published columns come straight from the features, not from a stage of all of them."""
+    text = plan(spark, "project_slim")
+    assert text.count("Exchange hashpartitioning(SK_ID_CURR") == 6
+    assert "prev_approval_rate" in text and "prev_days_decision_mean" not in text
+    assert "LessThan(c_nationkey,21)" in text
+
+
 @pytest.mark.parametrize("name", ["agg_previous", "agg_pos", "agg_card"])
 def test_summaries_combine_before_their_one_shuffle(spark, name):
     text = plan(spark, name)
