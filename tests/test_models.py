@@ -136,3 +136,31 @@ def test_a_learner_gathers_the_rows_it_is_given(spark, monkeypatch):
     monkeypatch.setattr(models, "ROWS_PER_PARTITION", 30)
     learner.fit(rows)
     assert seen == [1, 4]
+
+
+@pytest.mark.parametrize("n, cores, parts", [
+    (50_000, 12, 1), (60_000, 12, 12), (60_000, 4, 4), (50_001, 200, 10), (607_680, 12, 12), (607_680, 8, 16), (3_646_080, 12, 72),
+])
+def test_forest_rows_fill_whole_rounds_of_the_cores(n, cores, parts):
+    assert models._even_partitions(n, cores) == parts
+
+
+def test_forest_rows_are_dealt_evenly_and_kept_during_the_fit(spark, monkeypatch):
+    monkeypatch.setattr(models, "ROWS_PER_PARTITION", 100)
+    monkeypatch.setattr(models, "LEAST_ROWS", 20)
+    # all rows lie in one partition
+    df = spark.range(0, 400, 1, 1).select((F.col("id") % 2).cast("int").alias("TARGET"), F.sin("id").alias("a"))
+    kept = lambda: spark._jsc.sc().getPersistentRDDs().size()
+    seen, fit = [], models.WeightedLearner._fit
+
+    def watched(self, dataset):
+        seen.append((kept(), [r[0] for r in dataset.groupBy(F.spark_partition_id()).count().select("count").collect()]))
+        return fit(self, dataset)
+
+    monkeypatch.setattr(models.WeightedLearner, "_fit", watched)
+    before = kept()
+    models.fit_model("forest", df, ["a"], numTrees=2)
+    (during, sizes), = seen
+    assert during == before + 1 and kept() == before
+    assert len(sizes) == models._even_partitions(400, spark.sparkContext.defaultParallelism) > 1
+    assert sum(sizes) == 400 and max(sizes) - min(sizes) <= len(sizes)
