@@ -112,8 +112,8 @@ class Data:
         return self.fitted().features()
 
     def split(self):
-        labelled, _ = sampling.slice_sets(self.prepared())
-        return sampling.stratified_split(labelled)
+        """Training and held-out rows; the cuts between them are looked for once."""
+        return self._once("split", lambda: sampling.stratified_split(sampling.slice_sets(self.prepared())[0]))
 
     def model(self, name):
         return self._once(f"model {name}", lambda: models.fit_model(

@@ -88,3 +88,11 @@ def test_building_a_query_starts_no_job(spark, name):
 def test_correlations_unfold_no_rows(spark):
     """Tasks add up whole columns; no row becomes one row per column."""
     assert "Generate" not in plan(spark, "top_correlations")
+
+
+def test_the_split_is_looked_for_once(spark, rows):
+    """Training, scoring and evaluation of one folder share its cuts."""
+    d = catalog.Data(spark, "/nowhere")
+    d._memo["prepared"] = rows("SK_ID_CURR int, SET string, TARGET double", *[(i, "train", float(i % 2)) for i in range(20)])
+    train, held_out = d.split()
+    assert d.split() == (train, held_out) and (train.count(), held_out.count()) == (16, 4)
