@@ -77,3 +77,16 @@ def test_passes_follow_the_rows_not_the_values(spark, monkeypatch):
         values = sorted(r[0] for r in df.select(name).collect())
         assert quantiles(df, {name: F.col(name)}, SHARES)[name] == [expected(values, s) for s in SHARES]
         assert passes == ["_sketched", "_narrowed"]
+
+
+def test_a_pass_sends_counts_and_drawn_values_out_of_the_tasks(spark, monkeypatch):
+    """Not a row per value, with several chunks a task."""
+    monkeypatch.setattr(Q, "CHUNK", 4000)
+    monkeypatch.setattr(Q, "DRAWN", 1000)
+    sent, chunks = [], Q._sorted_chunks
+    monkeypatch.setattr(Q, "_sorted_chunks", lambda *args: sent.append(chunks(*args).count()) or chunks(*args))
+    df = spark.range(20_000).select((F.hash("id") / 2**31).alias("x"), (F.hash(-F.col("id")) / 2**31).alias("y")).repartition(3)
+    found = quantiles(df, {name: F.col(name) for name in df.columns}, [0.5])
+    for at, name in enumerate(df.columns):
+        assert found[name] == [expected([r[at] for r in df.collect()], 0.5)]
+    assert len(sent) >= 2 and max(sent) < 10_000
