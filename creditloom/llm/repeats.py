@@ -17,11 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.llm.scratch import Scratch
+from creditloom.llm.scratch import Scratch, fresh_name
 from creditloom.llm.words import Words, covered, mixed, text_slices, window_hashes
-from creditloom.llm.workers import map_batches, map_groups
+from creditloom.llm.workers import map_batches, map_groups, map_pairs
 
 CHUNK_BYTES = 3 << 20  # text of one chunk, one document at least
+BATCH_BYTES = 8 << 20  # of the batches in which documents reach a task before they lie in chunks
 RANGE_HASHES = 500_000  # hashes that one task compares at once, about
 SHORTEST_LEVEL = 8  # words; a shorter first level repeats by chance too often
 LEVEL_BITS = 48  # of a hash at the levels before the last, where an equal hash alone proves nothing
@@ -109,59 +110,110 @@ class _Chunk:
         return at[dead[at + length - shorter + 1] == dead[at]]
 
 
-def _chunks(df, text):
-    """``df`` as rows of (chunk, n_words, rows): runs of rows with about CHUNK_BYTES of text."""
+def _chunks(df, text, chunk, place):
+    """``df`` with the chunk of each row, a run of rows with about CHUNK_BYTES of text, and its place in there.
+
+    The first row of a chunk has the words of all in ``n_words``, the others NULL.
+    """
     fields = df.schema.fields
     at_text = df.columns.index(text)
 
-    def packed(batches):
+    def numbered(batches):
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = pc.fill_null(batch.column(at_text), "")
             for first, part in text_slices(texts, CHUNK_BYTES):
-                rows = batch.slice(first, len(part))
-                struct = pa.StructArray.from_arrays([rows.column(i) for i in range(rows.num_columns)],
-                                                    fields=list(rows.schema))
+                n = len(part)
                 n_words = int(Words(part).per_doc.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), pa.array([n_words]),
-                     pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), struct)],
-                    names=["chunk", "n_words", "rows"],
+                    [pa.array(np.full(n, number)), pa.array(np.arange(n)), pa.array([n_words, *[None] * (n - 1)], pa.int64()),
+                     *batch.slice(first, n).columns], names=schema.names,
                 )
                 number += 1
 
     schema = T.StructType([
-        T.StructField("chunk", T.LongType()), T.StructField("n_words", T.LongType()),
-        T.StructField("rows", T.ArrayType(T.StructType(fields))),
+        *[T.StructField(c, T.LongType()) for c in (chunk, place, fresh_name("n_words", df.columns))], *fields,
     ])
-    return map_batches(df, packed, schema)
+    return map_batches(df, numbered, schema)
+
+
+def _runs(batches, chunk, text):
+    """(chunk, texts) of runs of rows of one chunk, in the order in which they were written.
+
+    The rows of a chunk lie together but where a file is read in two parts; then each has a run.
+    """
+    number, parts = None, []
+    for batch in batches:
+        numbers, texts = batch.column(chunk).to_numpy(), batch.column(text)
+        edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1), len(numbers)]
+        for a, b in zip(edges, edges[1:]):
+            if b > a:
+                if parts and numbers[a] != number:
+                    yield number, pa.concat_arrays(parts)
+                    parts = []
+                number = int(numbers[a])
+                parts.append(texts.slice(a, b - a))
+    if parts:
+        yield number, pa.concat_arrays(parts)
+
+
+def _together(table, name):
+    """A column of a table as one array."""
+    column = table.column(name).combine_chunks()
+    return column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
 
 
 _SENT = "range long, chunk long, hashes binary"
 
 
-def _send_level(chunks, text, ranges, length, shorter):
-    """Distinct hashes of each chunk's candidate windows of ``length``, a row per chunk and range."""
+def _sent_rows(number, hashes, ranges):
+    """The rows that a chunk sends: its distinct hashes, packed, a row per range."""
+    hashes = np.unique(hashes)
+    rows = [(where, pack(hashes[a:b])) for where, a, b in _cut_by_range(hashes, LEVEL_BITS, ranges)]
+    return [pa.array([x[0] for x in rows], pa.int64()), pa.array([number] * len(rows), pa.int64()),
+            pa.array([x[1] for x in rows], pa.binary())]
+
+
+def _send_first(docs, chunk, text, ranges, length):
+    """Distinct hashes of each chunk's windows of ``length``, a row per chunk and range.
+
+    A chunk that is read in two parts sends the hashes both have twice, so they count as
+    repeated; the last level finds out.
+    """
 
     def sent(batches):
-        for batch in batches:
-            for r in range(len(batch)):
-                chunk = _Chunk(batch.column(1)[r].values.field(text))
-                hashes, at = chunk.level(length)
-                if shorter:
-                    alive = chunk.survivors(shorter, _listed(batch.column(2)[r].as_py()))
-                    keep = np.zeros(len(chunk.words), np.bool_)
-                    keep[chunk.candidates(length, shorter, alive)] = True
-                    hashes = hashes[keep[at]]
-                hashes = np.unique(hashes)
-                rows = [(where, pack(hashes[a:b])) for where, a, b in _cut_by_range(hashes, LEVEL_BITS, ranges)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in rows], pa.int64()),
-                     pa.array([batch.column(0)[r].as_py()] * len(rows), pa.int64()),
-                     pa.array([x[1] for x in rows], pa.binary())], names=["range", "chunk", "hashes"],
-                )
+        for number, texts in _runs(batches, chunk, text):
+            hashes, _ = _Chunk(texts).level(length)
+            yield pa.RecordBatch.from_arrays(_sent_rows(number, hashes, ranges), names=["range", "chunk", "hashes"])
+
+    return map_batches(docs.select(chunk, text), sent, _SENT)
+
+
+def _candidates(words, table, length, shorter):
+    """First words of the windows of ``length`` to look at, as a mask over all words of a chunk.
+
+    ``table``: the hashes of windows of length ``shorter`` that other chunks have too; with 0, all windows count.
+    """
+    keep = np.zeros(len(words.words), np.bool_)
+    if shorter:
+        alive = words.survivors(shorter, _listed(table.column("hashes").to_pylist()))
+        keep[words.candidates(length, shorter, alive)] = True
+    else:
+        keep[:] = True
+    return keep
+
+
+def _send_level(docs, found, chunk, text, ranges, length, shorter):
+    """Distinct hashes of each chunk's candidate windows of ``length``, a row per chunk and range."""
+
+    def sent(rows, repeated):
+        words = _Chunk(_together(rows, text))
+        hashes, at = words.level(length)
+        hashes = hashes[_candidates(words, repeated, length, shorter)[at]]
+        columns = _sent_rows(rows.column(chunk)[0].as_py(), hashes, ranges)
+        return pa.Table.from_arrays(columns, names=["range", "chunk", "hashes"])
 
-    return map_batches(chunks, sent, _SENT)
+    return map_pairs(docs.select(chunk, text), chunk, found, "chunk", sent, _SENT)
 
 
 def _returned(chunk_ids, keys, chunk_of, chosen):
@@ -194,38 +246,36 @@ def _repeated(table):
 _FINAL = "range long, chunk long, hashes binary, seconds binary, docs binary"
 
 
-def _send_last(chunks, text, doc, ranges, length, shorter):
+def _last_rows(words, ids, number, keep, ranges, length):
+    """The rows that a chunk sends at the wanted length; see ``_send_last``."""
+    first, at = words.windows(length)
+    second, _ = window_hashes(mixed(words.hash ^ _SECOND), words.words.per_doc, length)
+    chosen = keep[at]
+    first, second, at = first[chosen], second[chosen], at[chosen]
+    ids = _order_keys(ids)[words.words.doc[at]]
+    order = np.lexsort((ids, second, first))
+    first, second, ids = first[order], second[order], ids[order]
+    new = np.ones(len(first), np.bool_)
+    new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    first, second, ids = first[new], second[new], ids[new]
+    cuts = list(_cut_by_range(first, 64, ranges))
+    return pa.Table.from_arrays(
+        [pa.array([w for w, _, _ in cuts], pa.int64()), pa.array([number] * len(cuts), pa.int64()),
+         *(pa.array([f(x[a:b]) for _, a, b in cuts], pa.binary())
+           for x, f in ((first, lambda x: x.tobytes()), (second, lambda x: x.tobytes()), (ids, _near)))],
+        names=["range", "chunk", "hashes", "seconds", "docs"],
+    )
+
+
+def _send_last(docs, found, chunk, text, doc, ranges, length, shorter):
     """128-bit hashes of the candidate windows of the wanted length, with the first document of each in the chunk."""
 
-    def sent(batches):
-        for batch in batches:
-            for r in range(len(batch)):
-                rows = batch.column(1)[r].values
-                chunk = _Chunk(rows.field(text))
-                first, at = chunk.windows(length)
-                second, _ = window_hashes(mixed(chunk.hash ^ _SECOND), chunk.words.per_doc, length)
-                if shorter:
-                    alive = chunk.survivors(shorter, _listed(batch.column(2)[r].as_py()))
-                    keep = np.zeros(len(chunk.words), np.bool_)
-                    keep[chunk.candidates(length, shorter, alive)] = True
-                    chosen = keep[at]
-                    first, second, at = first[chosen], second[chosen], at[chosen]
-                ids = _order_keys(rows.field(doc))[chunk.words.doc[at]]
-                order = np.lexsort((ids, second, first))
-                first, second, ids = first[order], second[order], ids[order]
-                new = np.ones(len(first), np.bool_)
-                new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
-                first, second, ids = first[new], second[new], ids[new]
-                cuts = list(_cut_by_range(first, 64, ranges))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([w for w, _, _ in cuts], pa.int64()),
-                     pa.array([batch.column(0)[r].as_py()] * len(cuts), pa.int64()),
-                     *(pa.array([f(x[a:b]) for _, a, b in cuts], pa.binary())
-                       for x, f in ((first, lambda x: x.tobytes()), (second, lambda x: x.tobytes()), (ids, _near)))],
-                    names=["range", "chunk", "hashes", "seconds", "docs"],
-                )
+    def sent(rows, repeated):
+        words = _Chunk(_together(rows, text))
+        keep = _candidates(words, repeated, length, shorter)
+        return _last_rows(words, _together(rows, doc), rows.column(chunk)[0].as_py(), keep, ranges, length)
 
-    return map_batches(chunks, sent, _FINAL)
+    return map_pairs(docs.select(chunk, text, doc), chunk, found, "chunk", sent, _FINAL)
 
 
 def _near(ids):
@@ -319,59 +369,55 @@ def dedup_substrings(df, length=20, doc="doc_id", text="text", name="substrings"
     added = ("n_words", "n_removed", "kept_sha256")
     df = df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in added])
     fields = df.schema.fields
-    docs = scratch.keep(_chunks(df, text), "chunks")
-    total = docs.agg(F.sum("n_words")).first()[0] or 0
+    chunk, place, n_words = (fresh_name(c, df.columns) for c in ("chunk", "place", "n_words"))
+    docs = scratch.keep(_chunks(df, text, chunk, place), "chunks", BATCH_BYTES)
+    total = docs.agg(F.sum(n_words)).first()[0] or 0
+    docs = docs.drop(n_words)
     ranges = max(1, -(-total // RANGE_HASHES))
     levels = levels_of(length)
-    source, shorter = docs.select("chunk", "rows", F.lit(None).cast("array<binary>").alias("found")), 0
-
-    def with_found(found):
-        lists = found.groupBy("chunk").agg(F.collect_list("hashes").alias("found"))
-        return docs.select("chunk", "rows").join(lists, "chunk", "left").select("chunk", "rows", "found")
+    found, shorter = spark.createDataFrame([], "chunk long, hashes binary"), 0
 
     for level in levels[:-1]:
-        sent = _send_level(source, text, ranges, level, shorter)
-        found = scratch.keep(map_groups(sent, "range", _repeated, "chunk long, hashes binary"), f"level{level}")
-        source, shorter = with_found(found), level
-    sent = _send_last(source, text, doc, ranges, length, shorter)
+        sent = (_send_level(docs, found, chunk, text, ranges, level, shorter) if shorter
+                else _send_first(docs, chunk, text, ranges, level))
+        found = scratch.keep(map_groups(sent, "range", _repeated, "chunk long, hashes binary"), f"level{level}", BATCH_BYTES)
+        shorter = level
+    sent = _send_last(docs, found, chunk, text, doc, ranges, length, shorter)
     lost = scratch.keep(map_groups(sent, "range", _later, "chunk long, hashes binary"), "later")
     for level in levels[:-1]:
         scratch.drop(f"level{level}")
 
-    at_text = [f.name for f in fields].index(text)
     schema = T.StructType([
         *fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("kept_sha256", T.StringType()),
     ])
 
-    def cut(batches):
-        for batch in batches:
-            for r in range(len(batch)):
-                rows = batch.column(1)[r].values
-                chunk = _Chunk(rows.field(text))
-                words = chunk.words
-                hashes, at = chunk.windows(length)
-                second, _ = window_hashes(mixed(chunk.hash ^ _SECOND), words.per_doc, length)
-                # Windows in the order of their documents, so the first of equal ones is the earliest.
-                ids = _order_keys(rows.field(doc))
-                rank = np.empty(len(ids), np.int64)
-                rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
-                order = np.lexsort((at, rank[words.doc[at]], second, hashes))
-                again = np.zeros(len(at), np.bool_)
-                again[order[1:]] = (hashes[order[1:]] == hashes[order[:-1]]) & (second[order[1:]] == second[order[:-1]])
-                again |= _member(hashes, _listed(batch.column(2)[r].as_py()))
-                removed = covered(at[again], length, len(words))
-                digests = [hashlib.sha256(x).hexdigest() for x in _joined_words(words, ~removed)]
-                n_removed = np.bincount(words.doc[removed], minlength=words.n_docs)
-                texts = rows.field(text)
-                if removed.any():
-                    new = _cut_texts(words, removed)
-                    texts = pa.array([x.decode("utf-8", "replace") if there else None
-                                      for x, there in zip(new, texts.is_valid().to_pylist())], pa.string())
-                out = [texts.cast(pa.string()) if i == at_text else rows.field(i) for i in range(len(fields))]
-                yield pa.RecordBatch.from_arrays(
-                    [*out, pa.array(words.per_doc.astype(np.int64)), pa.array(n_removed.astype(np.int64)),
-                     pa.array(digests, pa.string())], names=schema.names,
-                )
-
-    return map_batches(with_found(lost), cut, schema)
+    def cut(rows, repeated):
+        rows = rows.sort_by(place)  # rows of one document id keep the order they have in the chunk
+        texts = _together(rows, text)
+        mine = _Chunk(texts)
+        words = mine.words
+        hashes, at = mine.windows(length)
+        second, _ = window_hashes(mixed(mine.hash ^ _SECOND), words.per_doc, length)
+        # Windows in the order of their documents, so the first of equal ones is the earliest.
+        ids = _order_keys(_together(rows, doc))
+        rank = np.empty(len(ids), np.int64)
+        rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+        order = np.lexsort((at, rank[words.doc[at]], second, hashes))
+        again = np.zeros(len(at), np.bool_)
+        again[order[1:]] = (hashes[order[1:]] == hashes[order[:-1]]) & (second[order[1:]] == second[order[:-1]])
+        again |= _member(hashes, _listed(repeated.column("hashes").to_pylist()))
+        removed = covered(at[again], length, len(words))
+        digests = [hashlib.sha256(x).hexdigest() for x in _joined_words(words, ~removed)]
+        n_removed = np.bincount(words.doc[removed], minlength=words.n_docs)
+        if removed.any():
+            new = _cut_texts(words, removed)
+            texts = pa.array([x.decode("utf-8", "replace") if there else None
+                              for x, there in zip(new, texts.is_valid().to_pylist())], pa.string())
+        out = [texts.cast(pa.string()) if f.name == text else rows.column(f.name) for f in fields]
+        return pa.Table.from_arrays(
+            [*out, pa.array(words.per_doc.astype(np.int64)), pa.array(n_removed.astype(np.int64)),
+             pa.array(digests, pa.string())], names=schema.names,
+        )
+
+    return map_pairs(docs, chunk, lost, "chunk", cut, schema)

@@ -7,6 +7,7 @@ from creditloom.session import fresh_path
 # A side of a join is broadcast only up to this many rows; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 class Scratch:
@@ -21,14 +22,20 @@ class Scratch:
         self.spark = spark
         self.folder = fresh_path(spark, name)
 
-    def keep(self, df, name):
-        """Write ``df`` and read it back; the shuffle files of the write are removed when it is done."""
-        path, was = f"{self.folder}/{name}", self.spark.conf.get(CLEANUP)
-        self.spark.conf.set(CLEANUP, "true")
+    def keep(self, df, name, batch_bytes=None):
+        """Write ``df`` and read it back; the shuffle files of the write are removed when it is done.
+
+        ``batch_bytes``: of the Arrow batches that Python steps of ``df`` get, about; else the session's limit.
+        """
+        path, settings = f"{self.folder}/{name}", {CLEANUP: "true", **({BATCH: str(batch_bytes)} if batch_bytes else {})}
+        before = {key: self.spark.conf.get(key) for key in settings}
         try:
+            for key, value in settings.items():
+                self.spark.conf.set(key, value)
             df.write.option("compression", "zstd").parquet(path)
         finally:
-            self.spark.conf.set(CLEANUP, was)
+            for key, value in before.items():
+                self.spark.conf.set(key, value)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name):

@@ -32,3 +32,17 @@ def map_groups(df, key, function, schema):
     """``df.groupBy(key).applyInArrow`` with workers that find this package; groups must be bounded."""
     _find_package(df.sparkSession)
     return df.groupBy(key).applyInArrow(function, schema)
+
+
+def map_pairs(left, left_key, right, right_key, function, schema):
+    """Cogroups two frames by a key for ``function(left rows, right rows)``; groups must be bounded.
+
+    Only one group at a time is in a task's Arrow memory.
+    """
+    def run(left_rows, right_rows):
+        out = function(left_rows, right_rows)
+        pa.default_memory_pool().release_unused()
+        return out
+
+    _find_package(left.sparkSession)
+    return left.groupBy(left_key).cogroup(right.groupBy(right_key)).applyInArrow(run, schema)

@@ -225,6 +225,25 @@ def test_passages_with_null_and_equal_ids(spark):
     assert sorted((r.doc_id is None, r.n_removed) for r in out) == [(False, 0), (False, 40), (True, 40)]
 
 
+def test_passages_keep_a_row_per_document(spark, monkeypatch):
+    """No row holds a whole chunk, however much text it has, and no task a batch of several chunks."""
+    kept, keep = [], Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, *args: kept.append(keep(self, df, *args)) or kept[-1])
+    data = [(i, prose(i // 2, 60)) for i in range(6)]
+    out = repeats.dedup_substrings(spark.createDataFrame(data, DOCS).coalesce(1))
+    assert kept[0].count() == len(data) and "array<" not in kept[0].schema.simpleString()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+
+
+def test_passages_of_a_chunk_that_is_read_in_parts():
+    batches = [pa.RecordBatch.from_pydict({"chunk": c, "text": t}) for c, t in (
+        ([4, 4], ["a", None]), ([4, 5], ["b", "c"]), ([], []), ([5, 4], ["d", "e"]))]
+    batches[2] = batches[0].slice(0, 0)
+    runs = [(n, t.to_pylist()) for n, t in repeats._runs(batches, "chunk", "text")]
+    assert runs == [(4, ["a", None, "b"]), (5, ["c", "d"]), (4, ["e"])]
+
+
 @pytest.mark.parametrize("values", [[5], [0, 1, 2**63], list(range(0, 2**40, 2**33)), [2**64 - 1]])
 def test_packed_hashes(values):
     assert repeats.unpack(repeats.pack(np.array(values, np.uint64))).tolist() == values
