@@ -735,7 +735,10 @@ def sample_n_size(d):
 # Models
 
 def _trained(d, name):
-    scored = models.score_rows(d.model(name), d.split()[1], label=S.LABEL)
+    # scores are written once: every metric reads them
+    scored = files.write_table(
+        models.score_rows(d.model(name), d.split()[1], label=S.LABEL), fresh_path(d.spark, f"scored_{name}")
+    )
     return models.evaluate({name: scored})
 
 

@@ -135,3 +135,53 @@ def test_a_small_table_takes_one_job_per_tree(spark, monkeypatch):
     model = BoostedTrees(labelCol="y", weightCol="w", maxIter=3, maxDepth=4).fit(table(spark, x, y, w))
     assert model.numTrees == 3 and len(calls) == 3
     assert max(n[1] for n in model.nodes) >= 2**4
+
+
+def test_nodes_of_many_rows_take_one_stage_a_level_and_the_others_one_job(spark, monkeypatch):
+    """Only the smaller of two children is looked at where the parent's histograms are there."""
+    x, y, w = sample(3000)
+    level, sums, calls, looked = boosting._level, boosting._sums, [], []
+    monkeypatch.setattr(boosting, "_level", lambda *args: calls.append(args[2]) or level(*args))
+    monkeypatch.setattr(boosting, "_sums", lambda *args: looked.append(list(args[2])) or sums(*args))
+    settings = dict(labelCol="y", weightCol="w", maxIter=2, maxDepth=5)
+    model = BoostedTrees(**settings, gatheredRows=100).fit(table(spark, x, y, w))
+    assert calls == [[], []] and looked[0] == [1] and len(looked) > 4
+    assert all(k ^ 1 not in some for some in looked for k in some)
+    monkeypatch.setattr(boosting, "HISTOGRAM_BYTES", 1)
+    again = BoostedTrees(**settings, gatheredRows=100).fit(table(spark, x, y, w, 5))
+    assert np.allclose(model.margins(x), again.margins(x), atol=1e-9)
+
+
+def test_gathered_nodes_are_shared_out_by_their_rows():
+    sizes = {2 * k: 1000 - k for k in range(1, 25)}
+    turn = boosting._even(sizes, 8)
+    loads = [sum(sizes[k] for k in sizes if turn[k] == i) for i in range(8)]
+    assert max(loads) - min(loads) < 50
+
+
+def test_rows_are_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "LEAST_ROWS", 100)
+    assert [boosting._tasks(n, 100, 8, 50) for n in (50, 150, 100_000, 50_000_000)] == [1, 1, 8, 104]
+    pieces = spark.sparkContext.parallelize([np.zeros(n) for n in [7] * 90 + [1] * 10], 3)
+    rows = boosting._dealt(pieces, 8).glom().map(lambda some: sum(map(len, some))).collect()
+    assert len(rows) == 8 and max(rows) - min(rows) <= 14
+
+
+def test_bin_edges_fill_bins_evenly(spark, monkeypatch):
+    """Exactly the values of a plain sketch while a table is small, and close to them when only some values of a chunk go into it."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    x, y, w = sample(300)
+    df = table(spark, x, y, w)
+    shares = [i / 20 for i in range(1, 20)]
+    plain = df.select(*[F.percentile_approx(vector_to_array("features")[i], shares, 1000) for i in range(4)]).first()
+    assert boosting.bin_edges(df, "features", 4, 300, 20) == [
+        sorted({c for c in cuts if c < x[:, i].max()}) for i, cuts in enumerate(plain)
+    ]
+    x, y, w = sample(2000)
+    df = table(spark, x, y, w)
+    monkeypatch.setattr(boosting, "SORTED_VALUES", 4 * 300)
+    some = boosting.bin_edges(df, "features", 4, 20_000, 20)  # every twentieth value
+    ranks = np.searchsorted(np.sort(x[:, 0]), some[0]) / 2000
+    assert np.abs(ranks - shares).max() < 0.04 and some[3] == []
