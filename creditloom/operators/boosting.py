@@ -361,9 +361,11 @@ def _level(rows, cuts, pending, gathered, seed, features, shape):
     if slots > 1:
         # So many tasks that one node's histograms should not all meet at once.
         found = found.partitionBy(tasks * slots, lambda key: turn[key[:2]] * slots + key[2]).mapPartitions(summed)
+    if shape["tasks"] > 1:
+        found = found.partitionBy(tasks, lambda key: turn[key[:2]])
     best = {}
     # A few numbers for each node and block of features.
-    for item in found.partitionBy(tasks, lambda key: turn[key[:2]]).mapPartitions(cut).collect():
+    for item in found.mapPartitions(cut).collect():
         item = _Cut(*item)
         if item.node not in best or (-item.gain, item.feature) < (-best[item.node].gain, best[item.node].feature):
             best[item.node] = item
@@ -527,7 +529,8 @@ def boost(df, features, label, weight, shape, rounds, seed, column_share):
             before, rows = rows, _renewed(rows, tree)
             if len(trees) % REFRESH == 0:
                 rows.saveAsPickleFile(f"{folder}/rows_{len(trees)}")
-                rows = spark.sparkContext.pickleFile(f"{folder}/rows_{len(trees)}")
+                # a file of many blocks would be read in as many partitions
+                rows = spark.sparkContext.pickleFile(f"{folder}/rows_{len(trees)}").coalesce(tasks)
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     rows.unpersist()
     return start, trees

@@ -185,3 +185,14 @@ def test_bin_edges_fill_bins_evenly(spark, monkeypatch):
     some = boosting.bin_edges(df, "features", 4, 20_000, 20)  # every twentieth value
     ranks = np.searchsorted(np.sort(x[:, 0]), some[0]) / 2000
     assert np.abs(ranks - shares).max() < 0.04 and some[3] == []
+
+
+def test_rows_of_one_task_are_not_shuffled(spark, monkeypatch):
+    from pyspark.core.rdd import RDD
+
+    calls, deal = [], RDD.partitionBy
+    monkeypatch.setattr(RDD, "partitionBy", lambda self, *args: calls.append(1) or deal(self, *args))
+    monkeypatch.setattr(boosting, "REFRESH", 2)
+    x, y, w = sample(1000)
+    model = BoostedTrees(labelCol="y", weightCol="w", maxIter=5, maxDepth=3).fit(table(spark, x, y, w))
+    assert model.numTrees == 5 and not calls
